@@ -353,7 +353,7 @@ def exchange_rate_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return priced.groupBy("curr", F.date_format("date_parsed", "yyyy-MM").alias("month")).agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.sum("exchange_rate").cast("double").alias("sum_rate"),
-        F.sum(n.fit(F.col("uprice").cast(n.OPERAND) * F.col("exchange_rate"), n.MONEY)).cast("double").alias("sum_price_gbp"),
+        F.sum(n.fit(F.col("uprice") * F.col("exchange_rate"), n.MONEY)).cast("double").alias("sum_price_gbp"),
     )
 
 
@@ -451,7 +451,8 @@ def kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     schema = trade.table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    found = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    return found.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def stream_daily(spark: SparkSession, sf: str) -> DataFrame:

@@ -13,10 +13,9 @@ DISCOUNT = "decimal(5,4)"
 PERCENT = "decimal(5,2)"
 SCORE = "decimal(3,1)"
 TEMPERATURE = "decimal(4,1)"
-# Staged numbers keep ten fraction digits. The narrower form below holds every value a
-# fact column can take, and its products stay inside 38 digits.
-STAGED = "decimal(38,10)"
-OPERAND = "decimal(22,10)"
+# Staged numbers: six fraction digits in eight bytes. A cell with more digits does not round
+# silently, it is noted when it is staged.
+STAGED = "decimal(18,6)"
 
 
 def fit(value: Column, dtype: str) -> Column:

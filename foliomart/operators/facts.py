@@ -140,24 +140,23 @@ def _sales_tagged(
     )
     rows = exchange_rate(rows, star, rates)
 
-    operand = {c: n.fit(F.col(c), n.OPERAND) for c in ("uprice", "tqty", "pd", "bc")}
     discount = F.coalesce("dscnt", "discount_imputed")
     m = _Measures(rows)
     m.level(
         quantity_sold=(F.col("tqty"), n.QUANTITY),
         unit_price_original=(F.col("uprice"), n.MONEY),
-        unit_price_gbp=(operand["uprice"] * F.col("exchange_rate"), n.MONEY),
+        unit_price_gbp=(F.col("uprice") * F.col("exchange_rate"), n.MONEY),
         discount_rate=(discount, n.DISCOUNT),
-        print_run_qty=(F.round(F.col("pd"), 0), "decimal(10,0)"),
+        print_run_qty=(F.col("pd"), "decimal(10,0)"),
         binding_cost_gbp=(F.col("bc"), n.MONEY),
-        unit_cost_gbp=(n.guarded(operand["bc"], operand["pd"]), n.MONEY),
+        unit_cost_gbp=(n.guarded(F.col("bc"), F.col("pd")), n.MONEY),
         vendor_score=(F.col("vscr"), n.SCORE),
     )
     m.level(
-        gross_amount_gbp=(F.col("unit_price_gbp") * operand["tqty"], n.MONEY),
-        total_cost_gbp=(F.col("unit_cost_gbp") * operand["tqty"], n.MONEY),
+        gross_amount_gbp=(F.col("unit_price_gbp") * F.col("tqty"), n.MONEY),
+        total_cost_gbp=(F.col("unit_cost_gbp") * F.col("tqty"), n.MONEY),
     )
-    applied = n.fit(F.coalesce(discount, F.lit(0)), n.OPERAND)
+    applied = F.coalesce(discount, F.lit(0).cast(n.STAGED))
     m.level(discount_amount_gbp=(F.col("gross_amount_gbp") * applied, n.MONEY))
     m.level(net_amount_gbp=(F.col("gross_amount_gbp") - F.col("discount_amount_gbp"), n.MONEY))
     m.level(gross_profit_gbp=(F.col("net_amount_gbp") - F.col("total_cost_gbp"), n.MONEY))
@@ -290,27 +289,26 @@ def _daily_tagged(staged: DataFrame, star: Star) -> DataFrame:
             "product_key": products.agg(F.min("product_key")).scalar(),
         }
     )
-    operand = {c: n.fit(F.col(c), n.OPERAND) for c in ("pd", "bc", "us", "rv", "rev")}
-    returns = F.coalesce(operand["rv"], F.lit(0).cast(n.OPERAND))
+    returns = F.coalesce(F.col("rv"), F.lit(0).cast(n.STAGED))
     whole = "decimal(10,0)"
     m = _Measures(rows)
     m.level(
-        print_run_qty=(F.round(F.col("pd"), 0), whole),
+        print_run_qty=(F.col("pd"), whole),
         binding_cost_gbp=(F.col("bc"), n.MONEY),
-        units_sold=(F.round(F.col("us"), 0), whole),
-        returns_qty=(F.round(returns, 0), whole),
-        net_units=(F.round(operand["us"] - returns, 0), whole),
+        units_sold=(F.col("us"), whole),
+        returns_qty=(returns, whole),
+        net_units=(F.col("us") - returns, whole),
         revenue_gbp=(F.col("rev"), n.MONEY),
-        unit_binding_cost=(n.guarded(operand["bc"], operand["pd"]), n.UNIT_COST),
-        print_run_utilization=(n.guarded(operand["us"] * 100, operand["pd"]), n.PERCENT),
-        return_rate_pct=(n.guarded(returns * 100, operand["us"]), n.PERCENT),
+        unit_binding_cost=(n.guarded(F.col("bc"), F.col("pd")), n.UNIT_COST),
+        print_run_utilization=(n.guarded(F.col("us") * 100, F.col("pd")), n.PERCENT),
+        return_rate_pct=(n.guarded(returns * 100, F.col("us")), n.PERCENT),
         temperature_celsius=(F.col("tmp"), n.TEMPERATURE),
-        humidity_pct=(F.round(F.col("hmd"), 0), "decimal(3,0)"),
+        humidity_pct=(F.col("hmd"), "decimal(3,0)"),
         vendor_score=(F.col("vscr"), n.SCORE),
     )
-    m.level(cost_of_goods_sold=(F.col("unit_binding_cost") * operand["us"], n.MONEY))
-    m.level(gross_profit_gbp=(operand["rev"] - F.col("cost_of_goods_sold"), n.MONEY))
-    margin = n.guarded(F.col("gross_profit_gbp") * 100, operand["rev"])
+    m.level(cost_of_goods_sold=(F.col("unit_binding_cost") * F.col("us"), n.MONEY))
+    m.level(gross_profit_gbp=(F.col("rev") - F.col("cost_of_goods_sold"), n.MONEY))
+    margin = n.guarded(F.col("gross_profit_gbp") * 100, F.col("rev"))
     m.level(gross_margin_pct=(margin, n.PERCENT))
     reasons = [
         (F.col("time_key").isNull(), "NO_TIME_KEY"),

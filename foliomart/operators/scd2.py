@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomart.operators.keys import assign_keys
+from foliomart.session import saved, scratch_path
 
 
 def _differs(left: list[Column], right: list[Column]) -> Column:
@@ -21,12 +22,16 @@ def scd2_merge(
     effective: Column,
     surrogate: str,
     first_key: int,
+    work: str | None = None,
 ) -> DataFrame:
     """The full version table after an extract (one row per key) takes effect.
 
     Unchanged and absent keys pass through. A changed key closes its version the day before and
     opens the next one. A change on the very day a version began corrects that version, and an
     extract older than the current version is ignored.
+
+    The merged rows are written to ``work`` (a folder the executors share) before new versions
+    get their keys.
     """
     versions = current.columns
     audit = [c for c in ("created_date", "created_by", "modified_date", "modified_by") if c in versions]
@@ -83,6 +88,7 @@ def scd2_merge(
         F.when(closed | F.col("old").isNull(), row(opened)),
     )
     merged = both.select(F.explode(F.filter(rows, lambda r: r.isNotNull())).alias("r")).select("r.*")
+    merged = saved(merged, work or scratch_path(current.sparkSession, "merged"))
     history = current.filter(~(F.col("is_current").eqNullSafe(F.lit("Y"))))
     numbered = merged.filter(F.col(surrogate).isNotNull())
     start = current.agg(F.coalesce(F.max(surrogate) + 1, F.lit(first_key))).scalar()

@@ -7,6 +7,7 @@ the supplier's nation a distribution center and the order's priority a channel.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,15 +18,12 @@ from foliomart.operators.calendar import calendar
 from foliomart.operators.facts import build_fact_daily, build_fact_sales
 from foliomart.operators.lookups import Star, attach
 from foliomart.schemas import staging_schema
-from foliomart.session import scratch_path
+from foliomart.session import saved, scratch_path
 from foliomart.sources.warehouse import write_fact
 
 FIRST_DAY = dt.date(1995, 1, 1)
 LAST_DAY = dt.date(2001, 12, 31)
 AS_OF = dt.datetime(2001, 8, 1)
-DIMENSIONS = [
-    "time", "product", "author", "dc", "vendor", "channel", "product_type", "currency", "station_vendor"
-]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -211,28 +209,20 @@ def center_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_stored: dict[tuple[str, ...], str] = {}
-
-
-def _stored_path(spark: SparkSession, sf_dir: str, name: str) -> tuple[str, bool]:
-    """Where a warehouse table of this application lies, and whether it is there yet."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key in _stored:
-        return _stored[key], True
-    return _stored.setdefault(key, scratch_path(spark, name)), False
+# Tables of this application's warehouse, written when first asked for.
+_stored: dict[tuple[str, ...], Star | DataFrame] = {}
 
 
 def stored_star(spark: SparkSession, sf_dir: str) -> Star:
     """The dimensions as the warehouse keeps them: written once per application, then read."""
-    path, known = _stored_path(spark, sf_dir, "dim")
-    if not known:
-        try:
-            for name, dim in star(spark, sf_dir).items():
-                dim.write.parquet(f"{path}/{name}")
-        except Exception:
-            _stored.pop((spark.sparkContext.applicationId, sf_dir, "dim"))
-            raise
-    return Star({name: spark.read.parquet(f"{path}/{name}") for name in DIMENSIONS})
+    key = (spark.sparkContext.applicationId, sf_dir, "dim")
+    if key not in _stored:
+        path = scratch_path(spark, "dim")
+        made = star(spark, sf_dir)
+        with ThreadPoolExecutor(4) as pool:
+            read = pool.map(lambda name: (name, saved(made[name], f"{path}/{name}")), made)
+        _stored[key] = Star(read)
+    return _stored[key]
 
 
 def sales(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataFrame]:
@@ -252,15 +242,13 @@ def daily(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, DataF
 
 def stored_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fact as the warehouse keeps it: written by month once per application, then read."""
-    path, known = _stored_path(spark, sf_dir, name)
-    if not known:
-        try:
-            fact, _ = {"fact_sales": sales, "fact_daily": daily}[name](spark, sf_dir)
-            write_fact(fact, path)
-        except Exception:
-            _stored.pop((spark.sparkContext.applicationId, sf_dir, name))
-            raise
-    return spark.read.parquet(path)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = scratch_path(spark, name)
+        fact, _ = {"fact_sales": sales, "fact_daily": daily}[name](spark, sf_dir)
+        write_fact(fact, path)
+        _stored[key] = spark.read.parquet(path)
+    return _stored[key]
 
 
 def meta_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
