@@ -123,7 +123,7 @@ def calendar(
 ) -> DataFrame:
     """One row per day from ``start`` to ``end``, both included."""
     span = F.explode(F.sequence(F.lit(start), F.lit(end))).alias("full_date")
-    return with_attributes(spark.range(1).select(span), easter)
+    return with_attributes(spark.range(0, 1, 1, 1).select(span), easter)
 
 
 def calendar_spanning(df: DataFrame, column: str, easter: bool = False) -> DataFrame:

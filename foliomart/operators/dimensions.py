@@ -20,6 +20,7 @@ from foliomart.schemas import (
     DIM_VENDOR,
     EXCHANGE_RATE,
     FIRST_DIM_KEY,
+    PRODUCT_TYPE_SEED,
     UNKNOWN_KEY,
 )
 
@@ -238,4 +239,4 @@ def with_unknown(dim: DataFrame, key: str) -> DataFrame:
         else:
             value = F.lit(None)
         row.append(value.cast(f.dataType).alias(f.name))
-    return dim.unionByName(dim.sparkSession.range(1).select(*row))
+    return dim.unionByName(dim.sparkSession.range(0, 1, 1, 1).select(*row))

@@ -55,7 +55,7 @@ class Warehouse:
         """Write a new version and switch readers to it."""
         version = (self._committed(table) or 0) + 1
         df.write.mode("overwrite").parquet(self.path(f"{table}/v={version}"))
-        note = self.spark.range(1).select(
+        note = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at")
         )
         self.append(f"{table}/versions", note)
@@ -187,7 +187,7 @@ def log_line(
         "created_by": F.current_user(),
         "created_date": F.current_timestamp(),
     }
-    return spark.range(1).select(
+    return spark.range(0, 1, 1, 1).select(
         *[values[f.name].cast(f.dataType).alias(f.name) for f in schema.fields]
     )
 
