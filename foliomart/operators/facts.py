@@ -186,7 +186,7 @@ def _sales_tagged(
 
 def _finish(
     tagged: DataFrame,
-    columns: list[str],
+    staged: DataFrame,
     schema: T.StructType,
     key: str,
     unique: list[str],
@@ -208,17 +208,16 @@ def _finish(
     }
     measures = [f.name for f in schema.fields if f.name not in {*audit, key}]
     work = work or scratch_path(tagged.sparkSession, key)
-    # Lookups and arithmetic run once: the split below reads this table several times.
-    wanted = dict.fromkeys([*columns, *measures, "reject_reason"])
-    tagged = saved(tagged.select(*wanted), f"{work}/tagged")
-    failed = tagged.filter(F.col("reject_reason").isNotNull())
+    # Lookups and arithmetic run once: the split below reads this narrow table several times.
+    carried = list(dict.fromkeys([id_col, "date_parsed", *measures]))
+    tagged = saved(tagged.select(*carried, "reject_reason"), f"{work}/tagged")
     valid = tagged.filter(F.col("reject_reason").isNull())
     kept = first_per_key(valid, unique, ["date_parsed", id_col], existing)
-    kept = saved(kept.select(*dict.fromkeys([*measures, "date_parsed", id_col])), f"{work}/kept")
+    kept = saved(kept.select(*carried), f"{work}/kept")
     late = rest_of(valid, kept, [*unique, "date_parsed", id_col])
-    rejected = failed.select(*columns, "reject_reason").unionByName(
-        late.select(*columns, F.lit("DUPLICATE").alias("reject_reason"))
-    )
+    refused = tagged.filter(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason")
+    refused = refused.unionByName(late.select(id_col, F.lit("DUPLICATE").alias("reject_reason")))
+    rejected = staged.join(refused, id_col).select(*staged.columns, "reject_reason")
     if first_key is not None:
         start = F.lit(first_key)
     elif existing is not None:
@@ -254,7 +253,7 @@ def build_fact_sales(
     """
     tagged = _sales_tagged(staged, star, rates, unknown, dc_map)
     return _finish(
-        tagged, staged.columns, FACT_SALES, "sales_fact_key", ["sale_number"], "stg_sales_id",
+        tagged, staged, FACT_SALES, "sales_fact_key", ["sale_number"], "stg_sales_id",
         "RAW_SALES", batch_id, existing, first_key, work,
     )
 
@@ -336,7 +335,7 @@ def build_fact_daily(
     """
     tagged = _daily_tagged(staged, star)
     return _finish(
-        tagged, staged.columns, FACT_DAILY, "daily_ops_fact_key",
+        tagged, staged, FACT_DAILY, "daily_ops_fact_key",
         ["time_key", "dc_key", "product_type_key"], "stg_daily_id",
         "RAW_DAILY", batch_id, existing, first_key, work,
     )

@@ -51,8 +51,9 @@ def staged_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
     price = F.col("l_extendedprice").cast(n.MONEY)
     quantity = F.col("l_quantity").cast(n.QUANTITY)
-    # orders are too many to broadcast; adaptive execution splits a hot order
-    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Both sides grow with the data, so they are shuffled and never broadcast; adaptive execution
+    # splits the partition of a hot order.
+    sold = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     sold = attach(sold.withColumnRenamed("l_partkey", "p_partkey"), part, ["p_partkey"], "inner")
     currency = F.when(F.col("l_returnflag") == "A", "USD").when(F.col("l_returnflag") == "R", "EUR")
     return _staged(
