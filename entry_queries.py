@@ -408,7 +408,7 @@ def q7_formatted_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def q7_formatted_channels(spark: SparkSession, sf: str) -> DataFrame:
     result = bi.channel_efficiency(_sales(spark, sf), trade.stored_star(spark, sf), trade.AS_OF)
-    return bi.report("channel_efficiency", result)
+    return typed(bi.report("channel_efficiency", result))
 
 
 # --- statistics

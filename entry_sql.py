@@ -411,7 +411,7 @@ FROM grown"""
 
 Q7_CHANNELS = f"""{Q3_BASE}
 SELECT channel_name AS "Channel", channel_type AS "Type", year || ' ' || quarter_name AS "Period",
-       transaction_count AS "Transactions", CAST(total_units AS DECIMAL(28,2)) AS "Units Sold",
+       transaction_count AS "Transactions", CAST(total_units AS DOUBLE) AS "Units Sold",
        {_money_text("net_revenue")} AS "Net Revenue", {_money_text("total_discounts")} AS "Total Discounts",
        {_money_text("total_profit")} AS "Gross Profit", {_pct_text("avg_margin_pct")} AS "Avg Margin %",
        {_pct_text("avg_discount_pct")} AS "Avg Discount %",

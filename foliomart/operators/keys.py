@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliomart.operators.lookups import matching
+
 # Rows of one day are numbered in this many (or, for whole-number ids, this wide) pieces.
 HASH_PIECES = 1024
 ID_PIECE = 1_000_000
@@ -21,7 +23,9 @@ def first_per_key(
     """
     window = Window.partitionBy(*key_cols).orderBy(*[F.asc_nulls_last(c) for c in order_cols])
     kept = df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
-    return kept if existing is None else kept.join(existing.select(*key_cols), key_cols, "left_anti")
+    if existing is None:
+        return kept
+    return kept.join(matching(existing, df, key_cols), key_cols, "left_anti")
 
 
 def rest_of(df: DataFrame, kept: DataFrame, identity: list[str]) -> DataFrame:

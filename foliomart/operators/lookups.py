@@ -46,6 +46,15 @@ def attach(rows: DataFrame, side: DataFrame, on: list[str], how: str = "left") -
     return rows.join(sized(side), on, how)
 
 
+def matching(large: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Key columns of ``large`` that also occur in ``keys``.
+
+    A load asks a large fact about the few keys of its batch: those are broadcast if counted
+    small, and the fact is then filtered in place instead of being shuffled.
+    """
+    return large.select(*on).join(sized(keys.select(*on).distinct()), on, "left_semi")
+
+
 def current(dim: DataFrame) -> DataFrame:
     """Current versions; dimensions without history are all current."""
     return dim.filter(F.col("is_current") == "Y") if "is_current" in dim.columns else dim

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliomart.functions import numeric as n
 from foliomart.functions.dates import parsed_date
+from foliomart.operators.lookups import matching
 from foliomart.schemas import NUMERIC_COLUMNS, SOURCE_COLUMNS, STAGING_ID, staging_schema
 
 
@@ -84,7 +85,8 @@ def unprocessed(staged: DataFrame, fact: DataFrame, source: str) -> DataFrame:
     """``ready`` rows that the fact does not hold yet."""
     key = STAGING_ID[source]
     loaded = fact.select(F.col("source_record_id").cast(staged.schema[key].dataType).alias(key))
-    return ready(staged).join(loaded, key, "left_anti")
+    todo = ready(staged)
+    return todo.join(matching(loaded, todo, [key]), key, "left_anti")
 
 
 def archive(staged: DataFrame, archived: DataFrame, source: str) -> tuple[DataFrame, DataFrame]:

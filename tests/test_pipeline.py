@@ -32,7 +32,7 @@ def test_extract_keeps_text_and_counts_rows(spark, tmp_path):
     rows, meta = extracts["raw_sales"]
     assert {d for _, d in rows.dtypes} == {"string"}
     line = meta.first()
-    assert (line["file_name"], line["total_rows"]) == ("raw_sales.csv", len(SALES))
+    assert (line["file_name"], line["total_rows"]) == ("sales.csv", len(SALES))
     assert line["columns"] == rows.columns and line["file_size_bytes"] > 0
     assert total_rows(extracts).first()[0] == len(SALES) + len(DAILY) + len(META)
 
