@@ -1,4 +1,5 @@
 import datetime as dt
+import glob
 from decimal import Decimal
 
 import pytest
@@ -73,6 +74,11 @@ def test_sales_reasons(loaded):
     assert "date not readable" in invalid["S0006"] and "tqty" in invalid["S0007"]
 
 
+def test_intermediate_tables_are_gone(loaded):
+    warehouse, _ = loaded
+    assert not glob.glob(f"{warehouse.root}/work/*")
+
+
 def test_unknown_members_keep_the_sale(loaded):
     warehouse, _ = loaded
     fact = {r["sale_number"]: r for r in warehouse.read("fact_sales", FACT_SALES).collect()}
