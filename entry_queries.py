@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,8 @@ from foliomart.operators import dimensions as dims
 from foliomart.operators import facts, keys, quality, scd2
 from foliomart.operators.lookups import attach
 from foliomart.plans import queries as bi
-from foliomart.plans import rollups, trends
+from foliomart.plans import pipeline, rollups, trends
+from foliomart.schemas import FACT_SALES, SOURCE_COLUMNS
 from foliomart.session import scratch_path
 from foliomart.sources import extract, staging, trade
 from foliomart.sources.warehouse import Warehouse, rewrite_months, total_count, write_fact
@@ -207,6 +209,34 @@ def constraint_violations(spark: SparkSession, sf: str) -> DataFrame:
     return quality.violations(_sales(spark, sf), checks)
 
 
+def daily_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged days that would break each declared constraint of the daily fact."""
+    staged = trade.staged_daily(spark, sf)
+    named = staged.select(
+        F.col("pd").alias("print_run_qty"), F.col("us").alias("units_sold"), F.col("rev").alias("revenue_gbp"),
+        (F.col("tmp") * 5).alias("temperature_celsius"), (F.col("hmd") * 2).alias("humidity_pct"),
+        (F.col("vscr") + 1).alias("vendor_score"),
+    )
+    return quality.violations(named, quality.DAILY_CHECKS)
+
+
+def dimension_violations(spark: SparkSession, sf: str) -> DataFrame:
+    """Members that break each declared constraint of the dimensions."""
+    meta = trade.meta_rows(spark, sf)
+    # raw scores, before they are made to fit
+    scored = meta.filter(F.col("vendor_id").isNotNull()).select("vendor_id", "vendor_score").distinct()
+    star = trade.stored_star(spark, sf)
+    parts = [
+        ("vendor", scored.withColumn("is_current", F.lit("Y")), quality.VENDOR_CHECKS),
+        ("product", star["product"].withColumn("is_current", F.when(F.col("author_key") < 20, "Y").otherwise("?")), quality.VERSION_CHECKS),
+        ("product_type", star["product_type"], quality.TYPE_CHECKS),
+        ("currency", star["currency"], quality.CURRENCY_CHECKS),
+        ("time", star["time"].withColumn("month_number", F.col("month_number") + 1), quality.TIME_CHECKS),
+    ]
+    made = [quality.violations(df, checks).select(F.lit(name).alias("dimension"), "*") for name, df, checks in parts]
+    return reduce(DataFrame.unionByName, made)
+
+
 def discount_imputed(spark: SparkSession, sf: str) -> DataFrame:
     filled = quality.impute_discount(trade.staged_sales(spark, sf), "channel_mean")
     return typed(filled.filter(F.col("dscnt").isNull()).select("stg_sales_id", "chnl", "discount_imputed"))
@@ -267,7 +297,7 @@ def scd2_merge(spark: SparkSession, sf: str) -> DataFrame:
         merged = scd2.scd2_merge(
             merged, state, "o_custkey", ["o_orderstatus"], F.lit(day), "customer_key", 1000
         )
-    return merged.drop("customer_key")
+    return merged
 
 
 def _dimension(spark: SparkSession, sf: str, build: Callable, *drop: str) -> DataFrame:
@@ -296,7 +326,7 @@ def dim_product(spark: SparkSession, sf: str) -> DataFrame:
     product = dims.dim_product(meta, author, vendor, F.lit(OPENING))
     return (
         product.join(author.select("author_key", "author_id"), "author_key")
-        .join(vendor.select("vendor_key", "vendor_id"), "vendor_key")
+        .join(vendor.select("vendor_key", "vendor_id"), "vendor_key", "left")
         .select("edition_id", "product_title", "product_category", "product_language", "author_id", "vendor_id",
                 "effective_date", "is_current", "record_version")
     )
@@ -321,7 +351,7 @@ def fact_sales_rejected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fact_daily(spark: SparkSession, sf: str) -> DataFrame:
-    return typed(_daily(spark, sf).drop("daily_ops_fact_key", "product_key", "notes", "year_month", *_AUDIT))
+    return typed(_daily(spark, sf).drop("daily_ops_fact_key", "notes", "year_month", *_AUDIT))
 
 
 def fact_daily_rejected(spark: SparkSession, sf: str) -> DataFrame:
@@ -329,6 +359,29 @@ def fact_daily_rejected(spark: SparkSession, sf: str) -> DataFrame:
     return rejected.select("stg_daily_id", "reject_reason")
 
 
+def fact_sales_first_center(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales by center when nothing names the center of a sale: all go to the first one."""
+    staged = trade.staged_sales(spark, sf)
+    fact, _ = facts.build_fact_sales(staged, trade.stored_star(spark, sf), batch_id=1)
+    return fact.groupBy("dc_key").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("net_amount_gbp").cast("double").alias("net")
+    )
+
+
+def seed_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales by the delivered code tables: channels by priority, product types by return flag."""
+    lines = trade.table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag", "l_quantity")
+    orders = trade.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    code = F.concat(F.lit("CH00"), F.substring("o_orderpriority", 1, 1))
+    kind = F.when(F.col("l_returnflag") == "A", "HRD").when(F.col("l_returnflag") == "R", "PBK").otherwise("EBK")
+    sold = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(
+        code.alias("channel_code"), kind.alias("product_type_code")
+    ).agg(F.count(F.lit(1)).alias("n_rows"), F.sum("l_quantity").cast("decimal(18,2)").cast("double").alias("quantity"))
+    channel = dims.dim_channel(spark).select("channel_key", "channel_code", "channel_name", "channel_type")
+    kinds = dims.dim_product_type(spark).select("product_type_key", "product_type_code", "product_type_name", "is_physical")
+    return sold.join(channel, "channel_code", "left").join(kinds, "product_type_code", "left")
+
+
 def load_summary(spark: SparkSession, sf: str) -> DataFrame:
     fact, rejected = trade.sales(spark, sf, unknown="reject")
     return facts.load_summary(fact, rejected)
@@ -394,6 +447,18 @@ def rollup_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return typed(rollups.refresh(warehouse, "channel_performance", made))
 
 
+def rollup_refresh_months(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored rollup that lacks most of 1999, after that year alone was computed anew."""
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    fact, star = _sales(spark, sf), trade.stored_star(spark, sf)
+    partial = fact.filter((F.floor(F.col("time_key") / 10000) != 1999) | (F.col("quantity_sold") > 45))
+    rollups.refresh(warehouse, "channel_performance", rollups.channel_performance(partial, star))
+    made = rollups.refresh_touched(
+        warehouse, "channel_performance", fact, lambda part: rollups.channel_performance(part, star), [1999]
+    )
+    return typed(made)
+
+
 def _question(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return typed(build(_sales(spark, sf), trade.stored_star(spark, sf), trade.AS_OF))
@@ -442,10 +507,76 @@ def vendor_trend(spark: SparkSession, sf: str) -> DataFrame:
     return trends.vendor_trend(_daily(spark, sf), trade.stored_star(spark, sf))
 
 
+def author_features(spark: SparkSession, sf: str) -> DataFrame:
+    return trends.author_features(_sales(spark, sf), trade.stored_star(spark, sf))
+
+
 def kmeans_segments(spark: SparkSession, sf: str) -> DataFrame:
     return trends.segments(trends.author_features(_sales(spark, sf), trade.stored_star(spark, sf)))
 
 
+# --- loads
+
+_loaded: dict[tuple[str, str], Warehouse] = {}
+CUT = dt.date(1998, 7, 1)
+
+
+def _written(df: DataFrame, columns: dict[str, str], path: str) -> None:
+    df.select(*[F.col(c).cast("string").alias(h) for h, c in columns.items()]).coalesce(1).write.mode("append").option(
+        "header", True
+    ).option("escape", '"').csv(path)
+
+
+def _warehouse(spark: SparkSession, sf: str) -> Warehouse:
+    """A warehouse loaded in two deliveries, written once per application.
+
+    Sales up to a day and parts up to size 25 come first, by a full load. The rest then arrives in
+    the same folders and is loaded incrementally, twice; the second time brings nothing new.
+    """
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _loaded:
+        root, folder = scratch_path(spark, "loaded"), scratch_path(spark, "deliveries")
+        code = F.concat(F.lit("CH00"), F.substring("chnl", 1, 1))
+        sold = trade.staged_sales(spark, sf).withColumn("chnl", code)
+        meta = trade.meta_rows(spark, sf).join(
+            trade.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("publication_ed"), "p_size"), "publication_ed"
+        )
+        folders = {name: f"{folder}/{name}" for name in ("raw_meta", "raw_sales")}
+
+        def deliver(early: bool) -> None:
+            first = F.col("date_parsed") < F.lit(CUT)
+            _written(sold.filter(first if early else ~first), SOURCE_COLUMNS["raw_sales"], folders["raw_sales"])
+            small = F.col("p_size") <= 25
+            _written(meta.filter(small if early else ~small), SOURCE_COLUMNS["raw_meta"], folders["raw_meta"])
+
+        options = {"effective": dt.date(1995, 1, 1), "days": (trade.FIRST_DAY, trade.LAST_DAY)}
+        deliver(True)
+        pipeline.run(spark, root, folders, **options)
+        deliver(False)
+        for _ in range(2):
+            _loaded[key] = pipeline.run_incremental(spark, root, folders, scratch_path(spark, "state"), **options)
+    return _loaded[key]
+
+
+def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
+    """The sales fact after both deliveries: sales of editions unknown when they came keep -1."""
+    fact = _warehouse(spark, sf).read("fact_sales", FACT_SALES)
+    return fact.groupBy(F.floor(F.col("time_key") / 100).cast("int").alias("year_month")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("sale_number").alias("n_sales"),
+        F.sum("net_amount_gbp").cast("double").alias("net"), F.count_if(F.col("product_key") == -1).alias("unknown_editions"),
+    )
+
+
+def load_log(spark: SparkSession, sf: str) -> DataFrame:
+    """What the logs say about the three loads: batches, and the rows their steps handled."""
+    warehouse = _warehouse(spark, sf)
+    batches = warehouse.batches().select("batch_id", "batch_name", F.lit("-").alias("step"), "status", "records_processed")
+    steps = warehouse.steps().join(warehouse.batches().select("batch_id", "batch_name"), "batch_id").select(
+        "batch_id", "batch_name", F.regexp_replace("step_name", " [0-9]+$", "").alias("step"), "status", "records_processed"
+    )
+    return batches.unionByName(steps.filter("step <> 'rollups'"))
+
+
 # --- streams
 
 
@@ -456,16 +587,19 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
-    """Closed days of the event stream: those no late event can reach any more."""
+    """Days of the event stream, those still open at its end included."""
     totals = incremental.stream_daily(
         _events(spark, sf).withColumn("value", F.col("value").cast(n.MONEY)), "ts", "event_type", "value"
     )
-    return typed(incremental.run_available(totals, scratch_path(spark, "days"), scratch_path(spark, "days-log")))
+    path, log = scratch_path(spark, "days"), scratch_path(spark, "days-log")
+    return typed(incremental.run_latest(totals, ["day", "event_type"], path, log))
 
 
 def stream_unique(spark: SparkSession, sf: str) -> DataFrame:
-    """Users of the event stream, each once within the lateness bound of the whole span."""
-    unique = incremental.stream_unique(_events(spark, sf), "user_id", "ts", "40 days", "event_id").select("user_id")
+    """Users of the event stream, each once: they are remembered for as long as the events span."""
+    events = trade.table(spark, sf, "events")
+    days = events.agg(F.coalesce(F.datediff(F.max("ts"), F.min("ts")), F.lit(0)).alias("n")).first()["n"]
+    unique = incremental.stream_unique(_events(spark, sf), "user_id", "ts", f"{days + 1} days", "event_id").select("user_id")
     return incremental.run_available(unique, scratch_path(spark, "users"), scratch_path(spark, "users-log"))
 
 
@@ -484,6 +618,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m4_vendor_cost_analysis": m4_vendor_cost_analysis,
     "m5_channel_performance": _rollup("channel_performance"),
     "m6_rollup_refresh": rollup_refresh,
+    "m6_rollup_refresh_months": rollup_refresh_months,
     "calendar_dim": calendar_dim,
     "calendar_report": calendar_report,
     "calendar_easter": calendar_easter,
@@ -498,6 +633,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duplicate_keys": duplicate_keys,
     "orphan_keys": orphan_keys,
     "constraint_violations": constraint_violations,
+    "daily_violations": daily_violations,
+    "dimension_violations": dimension_violations,
     "discount_imputed": discount_imputed,
     "first_valid_sales": first_valid_sales,
     "first_valid_existing": first_valid_existing,
@@ -515,7 +652,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_daily": fact_daily,
     "fact_daily_rejected": fact_daily_rejected,
     "fact_sink_months": fact_sink_months,
+    "fact_sales_first_center": fact_sales_first_center,
+    "seed_codes": seed_codes,
     "load_summary": load_summary,
+    "incremental_load": incremental_load,
+    "load_log": load_log,
     "exchange_rate_lookup": exchange_rate_lookup,
     "correlations": correlations,
     "outliers": outliers,
@@ -523,6 +664,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "trend_forecast": trend_forecast,
     "dc_percentile": dc_percentile,
     "vendor_trend": vendor_trend,
+    "author_features": author_features,
     "kmeans_segments": kmeans_segments,
     "stream_daily": stream_daily,
     "stream_unique": stream_unique,

@@ -495,19 +495,19 @@ counts AS (
 ),
 found AS (
   SELECT total, 'numeric:Dscnt' AS validation_rule, 'WARNING' AS severity, numeric_dscnt AS bad,
-         'Dscnt: ' || numeric_dscnt || ' non-numeric values' AS details FROM counts
+         'Dscnt: ' || numeric_dscnt || ' cells without a number' AS details FROM counts
   UNION ALL SELECT total, 'numeric:TQty', 'WARNING', numeric_tqty,
-         'TQty: ' || numeric_tqty || ' non-numeric values' FROM counts
+         'TQty: ' || numeric_tqty || ' cells without a number' FROM counts
   UNION ALL SELECT total, 'positive:Margin', 'ERROR', positive_margin,
-         'Margin: ' || positive_margin || ' negative values (should be positive)' FROM counts
+         'Margin: ' || positive_margin || ' values below zero' FROM counts
   UNION ALL SELECT total, 'range:Dscnt', 'WARNING', range_dscnt,
-         'Dscnt: ' || range_dscnt || ' values out of range [0.02, 0.08]' FROM counts
+         'Dscnt: ' || range_dscnt || ' values not between 0.02 and 0.08' FROM counts
   UNION ALL SELECT total, 'range:TQty', 'WARNING', range_tqty,
-         'TQty: ' || range_tqty || ' values out of range [1, 45]' FROM counts
+         'TQty: ' || range_tqty || ' values not between 1 and 45' FROM counts
   UNION ALL SELECT total, 'category:Flag', 'ERROR', category_flag,
-         'Flag: ' || category_flag || ' invalid values (expected: [''A'', ''N''])' FROM counts
+         'Flag: ' || category_flag || ' values that are none of A, N' FROM counts
   UNION ALL SELECT total, 'date:DateStamp', 'WARNING', date_stamp,
-         'DateStamp: ' || date_stamp || ' unparseable dates' FROM counts
+         'DateStamp: ' || date_stamp || ' dates in no known format' FROM counts
 )
 SELECT 'raw_sales' AS source_table, validation_rule, severity, total AS total_records,
        total - bad AS valid_records, bad AS invalid_records,
@@ -568,8 +568,11 @@ FROM closing c LEFT JOIN opening o USING (o_custkey) WHERE o.s IS NULL OR o.s <>
 
 META = """meta AS (
   SELECT n_name, n_nationkey, r_name, s_suppkey, s_name, s_acctbal, p_partkey, p_name, p_type, p_brand
-  FROM part JOIN (SELECT l_partkey AS p_partkey, min(l_suppkey) AS s_suppkey FROM lineitem GROUP BY 1) USING (p_partkey)
-       JOIN supplier USING (s_suppkey) JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  FROM part LEFT JOIN (
+    SELECT DISTINCT l_partkey, s_suppkey, s_name, s_acctbal, n_name, n_nationkey, r_name
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+         JOIN region ON n_regionkey = r_regionkey
+  ) ON l_partkey = p_partkey
 )"""
 _FIRST_VERSION = """DATE '1998-06-30' AS effective_date, CAST(NULL AS DATE) AS expiry_date, 'Y' AS is_current,
        CAST(1 AS INTEGER) AS record_version"""
@@ -623,6 +626,22 @@ outcomes AS (
          ELSE reject_reason END AS reject_reason FROM ranked
 )"""
 
+LOADED = f"""WITH {STAGED_SALES},
+{DIMS},
+priced AS (
+  SELECT s.*, CAST(s.uprice * CAST(CASE s.curr WHEN 'USD' THEN 0.79 WHEN 'EUR' THEN 0.85 ELSE 1 END AS DECIMAL(12,6)) AS {M}) AS p,
+         {_div("s.bc", "s.pd", M)} AS c FROM staged_sales s
+),
+gross AS (SELECT *, CAST(p * tqty AS {M}) AS g, CAST(c * tqty AS {M}) AS cost FROM priced),
+net AS (SELECT *, CAST(g - CAST(g * coalesce(dscnt, CAST(0 AS DECIMAL(5,4))) AS {M}) AS {M}) AS net FROM gross),
+judged AS (
+  SELECT *, net > 0 AND {_try_div("(net - cost) * 100", "net", "DECIMAL(5,2)")} IS NULL AS lost FROM net
+),
+kept AS (
+  SELECT *, row_number() OVER (PARTITION BY sale_num ORDER BY date_parsed) AS rn FROM judged
+  WHERE NOT lost AND tqty > 0 AND p > 0 AND coalesce(dscnt <= 0.25, true)
+)"""
+
 ORACLES: dict[str, str] = {
     "q1_top_editions_by_region": Q1,
     "q2_author_roi": Q2,
@@ -638,6 +657,7 @@ ORACLES: dict[str, str] = {
     "m4_vendor_cost_analysis": M4,
     "m5_channel_performance": M5,
     "m6_rollup_refresh": M5,
+    "m6_rollup_refresh_months": M5,
     "calendar_dim": f"WITH {CALENDAR} SELECT * FROM cal",
     "calendar_report": f"""WITH {CALENDAR}
 SELECT 'Total Records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM cal
@@ -682,6 +702,25 @@ SELECT sale_num, count(*) AS n_rows FROM staged_sales GROUP BY 1 HAVING count(*)
     "orphan_keys": """SELECT l_partkey, count(*) AS n_rows FROM lineitem
 WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_size > 1) GROUP BY 1""",
     "constraint_violations": VIOLATIONS,
+    "daily_violations": f"""WITH {STAGED_DAILY}
+SELECT c.name AS constraint_name, total_records, c.bad AS invalid_records FROM (
+  SELECT count(*) AS total_records, unnest([
+    {{'name': 'ck_daily_print_run', 'bad': count(*) FILTER (pd < 0)}}, {{'name': 'ck_daily_units_sold', 'bad': count(*) FILTER (us < 0)}},
+    {{'name': 'ck_daily_revenue', 'bad': count(*) FILTER (rev < 0)}}, {{'name': 'ck_daily_temp', 'bad': count(*) FILTER (tmp * 5 > 60)}},
+    {{'name': 'ck_daily_humidity', 'bad': count(*) FILTER (hmd * 2 > 100)}},
+    {{'name': 'ck_daily_vendor_score', 'bad': count(*) FILTER (vscr + 1 > 10)}}
+  ]) AS c FROM staged_daily
+)""",
+    "dimension_violations": f"""WITH {DIMS},
+scored AS (SELECT DISTINCT s_suppkey, abs(s_acctbal) / 1000 AS score FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem))
+SELECT 'vendor' AS dimension, 'ck_current' AS constraint_name, count(*) AS total_records, CAST(0 AS BIGINT) AS invalid_records FROM scored
+UNION ALL SELECT 'vendor', 'ck_dim_vendor_score', count(*), count(*) FILTER (score > 10) FROM scored
+UNION ALL SELECT 'product', 'ck_current', count(*), count(*) FILTER (NOT author_key < 20) FROM product
+UNION ALL SELECT 'product_type', 'ck_physical', count(*), count(*) FILTER (is_physical NOT IN ('Y', 'N')) FROM product_type
+UNION ALL SELECT 'currency', 'ck_base', 4, 0
+UNION ALL SELECT 'time', 'ck_dim_time_dow', count(*), 0 FROM time_dim
+UNION ALL SELECT 'time', 'ck_dim_time_month', count(*), count(*) FILTER (month_number = 12) FROM time_dim
+UNION ALL SELECT 'time', 'ck_dim_time_quarter', count(*), 0 FROM time_dim""",
     "discount_imputed": f"""WITH {STAGED_SALES},
 means AS (
   SELECT chnl, CAST(CAST(CAST(CAST(sum(dscnt) AS DOUBLE) / count(dscnt) AS DECIMAL(38,10)) AS DECIMAL(5,4)) AS DOUBLE)
@@ -705,7 +744,7 @@ SELECT CASE WHEN rn = 1 AND NOT there THEN 'KEPT' ELSE 'DUPLICATE' END AS outcom
     "fact_key_density": f"""WITH {FACT_SALES}
 SELECT CAST(100000 AS BIGINT) AS first_key, 99999 + count(*) AS last_key, count(*) AS n_keys FROM fact_sales""",
     "scd2_history": HISTORY,
-    "scd2_merge": MERGE,
+    "scd2_merge": f"""SELECT 999 + row_number() OVER (ORDER BY effective_date, o_custkey) AS customer_key, * FROM ({MERGE})""",
     "dim_author": f"""WITH {META}
 SELECT p_brand AS author_id, 'Author' AS first_name, substr(p_brand, 7) AS last_name,
        'Author ' || substr(p_brand, 7) AS full_name, 'UK' AS country, min(p_type) AS primary_genre, {_FIRST_VERSION}
@@ -715,29 +754,67 @@ SELECT DISTINCT 'V' || s_suppkey AS vendor_id, s_name AS vendor_name,
        CAST(CAST(CAST(abs(s_acctbal) / 1000 AS DECIMAL(38,10)) AS DECIMAL(3,1)) AS DOUBLE) AS vendor_score,
        'Paper' AS service_type_1, 'A' AS service_quality_1, CAST(NULL AS VARCHAR) AS service_type_2,
        CAST(NULL AS VARCHAR) AS service_quality_2, {_FIRST_VERSION}
-FROM meta""",
+FROM meta WHERE s_suppkey IS NOT NULL""",
     "dim_dc": f"""WITH {META}
 SELECT DISTINCT n_name AS station_code, n_name || ' DC' AS station_name, r_name AS station_region,
        'UK' AS station_country, 'MGR' || n_nationkey AS manager_id,
        '1 High Street, E' || n_nationkey || ' 8ZA' AS station_address, 'E' || n_nationkey || ' 8ZA' AS postcode,
        {_FIRST_VERSION}
-FROM meta""",
+FROM meta WHERE n_name IS NOT NULL""",
     "dim_product": f"""WITH {META}
 SELECT CAST(p_partkey AS VARCHAR) AS edition_id, p_name AS product_title, p_type AS product_category,
-       'EN' AS product_language, p_brand AS author_id, 'V' || s_suppkey AS vendor_id,
+       'EN' AS product_language, p_brand AS author_id, min('V' || s_suppkey) AS vendor_id,
        DATE '1998-06-30' AS effective_date, 'Y' AS is_current, CAST(1 AS INTEGER) AS record_version
-FROM meta""",
-    "station_vendor": f"WITH {META} SELECT DISTINCT n_name AS station_code, 'V' || s_suppkey AS vendor_id FROM meta",
+FROM meta GROUP BY p_partkey, p_name, p_type, p_brand""",
+    "station_vendor": f"WITH {META} SELECT DISTINCT n_name AS station_code, 'V' || s_suppkey AS vendor_id FROM meta WHERE s_suppkey IS NOT NULL",
     "fact_sales": f"WITH {FACT_SALES} SELECT {_SALES_COLUMNS}, {_SALES_MONEY} FROM fact_sales",
     "fact_sales_rejected": f"{REJECTED} SELECT * FROM outcomes WHERE reject_reason IS NOT NULL",
     "fact_daily": f"""WITH {FACT_DAILY}
-SELECT time_key, dc_key, vendor_key, product_type_key, print_run_qty, units_sold, returns_qty, net_units,
+SELECT time_key, (SELECT min(product_key) FROM product WHERE product_key <> -1) AS product_key, dc_key, vendor_key,
+       product_type_key, print_run_qty, units_sold, returns_qty, net_units,
        humidity_pct, source_record_id, {_DAILY_MONEY} FROM fact_daily""",
     "fact_daily_rejected": f"""WITH {FACT_DAILY}
 SELECT stg_daily_id, failed AS reject_reason FROM tagged_daily WHERE failed IS NOT NULL""",
     "fact_sink_months": f"""WITH {FACT_SALES}
 SELECT CAST(time_key // 100 AS INTEGER) AS year_month, count(*) AS n_rows, {_sum("net_amount_gbp", "net")}
 FROM fact_sales WHERE time_key // 10000 <> 1999 OR quantity_sold > 25 GROUP BY 1""",
+    "fact_sales_first_center": f"""WITH {FACT_SALES}
+SELECT (SELECT min(dc_key) FROM dc WHERE dc_key <> -1) AS dc_key, count(*) AS n_rows, {_sum("net_amount_gbp", "net")}
+FROM fact_sales""",
+    "seed_codes": """WITH sold AS (
+  SELECT 'CH00' || substr(o_orderpriority, 1, 1) AS channel_code,
+         CASE l_returnflag WHEN 'A' THEN 'HRD' WHEN 'R' THEN 'PBK' ELSE 'EBK' END AS product_type_code,
+         count(*) AS n_rows, CAST(sum(l_quantity) AS DOUBLE) AS quantity
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2
+),
+channel(channel_key, channel_code, channel_name, channel_type) AS (
+  VALUES (1000::BIGINT, 'CH001', 'Amazon', 'Online'), (1001, 'CH002', 'Barnes & Noble', 'Online'), (1002, 'CH003', 'In_Store', 'Physical')
+),
+kind(product_type_key, product_type_code, product_type_name, is_physical) AS (
+  VALUES (1000::BIGINT, 'HRD', 'Hardcover', 'Y'), (1001, 'PBK', 'Paperback', 'Y'), (1002, 'EBK', 'e-Book', 'N')
+)
+SELECT * FROM sold LEFT JOIN channel USING (channel_code) LEFT JOIN kind USING (product_type_code)""",
+    "incremental_load": f"""{LOADED}
+SELECT CAST(year(date_parsed) * 100 + month(date_parsed) AS INTEGER) AS year_month, count(*) AS n_rows, count(*) AS n_sales,
+       {_sum("net", "net")}, count(*) FILTER (p_size > 25 AND date_parsed < DATE '1998-07-01') AS unknown_editions
+FROM kept JOIN part ON p_partkey = l_partkey WHERE rn = 1 GROUP BY 1""",
+    "load_log": f"""{LOADED},
+m AS (
+  SELECT p_size <= 25 AS early, count(*) AS n FROM (SELECT DISTINCT p_partkey, p_size, l_suppkey FROM part LEFT JOIN lineitem ON p_partkey = l_partkey)
+  GROUP BY 1
+),
+s AS (SELECT date_parsed < DATE '1998-07-01' AS early, count(*) AS n FROM staged_sales GROUP BY 1),
+k AS (SELECT date_parsed < DATE '1998-07-01' AS early, count(*) AS n FROM kept WHERE rn = 1 GROUP BY 1),
+b(batch_id, batch_name, early) AS (VALUES (1::BIGINT, 'FULL_LOAD', true), (2, 'INCREMENTAL_LOAD', false), (3, 'INCREMENTAL_LOAD', NULL)),
+steps AS (
+  SELECT batch_id, batch_name, '-' AS step, coalesce(n, 0) AS records_processed FROM b LEFT JOIN k USING (early)
+  UNION ALL SELECT batch_id, batch_name, 'load fact_sales', n FROM b JOIN k USING (early)
+  UNION ALL SELECT batch_id, batch_name, 'load fact_daily', 0 FROM b WHERE early IS NOT NULL
+  UNION ALL SELECT batch_id, batch_name, 'dimensions', CASE WHEN early IS NULL THEN 0 ELSE 1 END FROM b
+  UNION ALL SELECT batch_id, batch_name, 'stage raw_meta', n FROM b JOIN m USING (early)
+  UNION ALL SELECT batch_id, batch_name, 'stage raw_sales', n FROM b JOIN s USING (early)
+)
+SELECT batch_id, batch_name, step, 'COMPLETED' AS status, CAST(records_processed AS BIGINT) AS records_processed FROM steps""",
     "load_summary": f"""{REJECTED}
 SELECT coalesce(reject_reason, 'LOADED') AS outcome, count(*) AS n_rows FROM outcomes GROUP BY 1""",
     "exchange_rate_lookup": RATES,
@@ -760,6 +837,21 @@ scored AS (
   FROM fact_sales JOIN figures USING (product_type_key)
 )
 SELECT sale_number, product_type_key, net_amount_gbp, round(score, 4) AS score FROM scored WHERE abs(score) > 2""",
+    "outliers_iqr": f"""WITH {FACT_SALES},
+figures AS (
+  SELECT product_type_key, CAST(quantile_disc(gross_margin_pct, 0.25) AS DOUBLE) AS lo,
+         CAST(quantile_disc(gross_margin_pct, 0.75) AS DOUBLE) AS hi FROM fact_sales GROUP BY 1
+),
+scored AS (
+  SELECT sale_number, product_type_key, CAST(gross_margin_pct AS DOUBLE) AS gross_margin_pct,
+         greatest(lo - CAST(gross_margin_pct AS DOUBLE), CAST(gross_margin_pct AS DOUBLE) - hi) / nullif(hi - lo, 0) AS score
+  FROM fact_sales JOIN figures USING (product_type_key)
+)
+SELECT * FROM scored WHERE score > 1.5""",
+    "author_features": f"""WITH {FACT_SALES}
+SELECT author_id, {_sum("quantity_sold", "units")}, {_sum("net_amount_gbp", "revenue")}, {_sum("gross_profit_gbp", "profit")},
+       coalesce({_avg("gross_margin_pct")}, 0) AS margin, coalesce({_avg("discount_rate")}, 0) AS discount
+FROM fact_sales JOIN author USING (author_key) WHERE author_key <> -1 GROUP BY author_id""",
     "trend_forecast": FORECAST,
     "dc_percentile": f"""{Q6_BASE},
 placed AS (
@@ -778,6 +870,6 @@ SELECT vendor_id, vendor_name, year, quarter_number, avg_unit_cost, prev_unit_co
   SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n_rows, CAST(sum(CAST(value AS DECIMAL(12,2))) AS DOUBLE) AS total
   FROM events GROUP BY 1, 2
 )
-SELECT * FROM days WHERE CAST(day AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY""",
+SELECT * FROM days""",
     "stream_unique": "SELECT DISTINCT user_id FROM events",
 }

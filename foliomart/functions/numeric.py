@@ -13,9 +13,11 @@ DISCOUNT = "decimal(5,4)"
 PERCENT = "decimal(5,2)"
 SCORE = "decimal(3,1)"
 TEMPERATURE = "decimal(4,1)"
-# Staged numbers: six fraction digits in eight bytes. A cell with more digits does not round
-# silently, it is noted when it is staged.
-STAGED = "decimal(18,6)"
+# Staged numbers keep the source's digits; they round when they are assigned to a measure.
+STAGED = "decimal(38,10)"
+# What arithmetic starts from: every digit a measure of up to ten whole digits can use, and narrow
+# enough that products and quotients stay exact.
+OPERAND = "decimal(20,10)"
 
 
 def fit(value: Column, dtype: str) -> Column:

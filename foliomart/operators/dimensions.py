@@ -130,26 +130,34 @@ VERSION_COLUMNS = [
 ]
 
 
-def _merge(name: str, incoming: DataFrame, effective: Column, existing: DataFrame | None) -> DataFrame:
+def _merge(
+    name: str, incoming: DataFrame, effective: Column, existing: DataFrame | None, work: str | None
+) -> DataFrame:
     schema, key, natural = VERSIONED[name]
     tracked = [f.name for f in schema.fields if f.name not in (key, natural, *VERSION_COLUMNS)]
     known = existing
     if known is None:
         known = incoming.sparkSession.createDataFrame([], schema)
-    merged = scd2_merge(known, incoming, natural, tracked, effective, key, FIRST_DIM_KEY)
+    merged = scd2_merge(known, incoming, natural, tracked, effective, key, FIRST_DIM_KEY, work and f"{work}/{name}")
     return merged.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def dim_author(meta: DataFrame, effective: Column, existing: DataFrame | None = None) -> DataFrame:
-    return _merge("author", author_rows(meta), effective, existing)
+def dim_author(
+    meta: DataFrame, effective: Column, existing: DataFrame | None = None, work: str | None = None
+) -> DataFrame:
+    return _merge("author", author_rows(meta), effective, existing, work)
 
 
-def dim_vendor(meta: DataFrame, effective: Column, existing: DataFrame | None = None) -> DataFrame:
-    return _merge("vendor", vendor_rows(meta), effective, existing)
+def dim_vendor(
+    meta: DataFrame, effective: Column, existing: DataFrame | None = None, work: str | None = None
+) -> DataFrame:
+    return _merge("vendor", vendor_rows(meta), effective, existing, work)
 
 
-def dim_dc(meta: DataFrame, effective: Column, existing: DataFrame | None = None) -> DataFrame:
-    return _merge("dc", dc_rows(meta), effective, existing)
+def dim_dc(
+    meta: DataFrame, effective: Column, existing: DataFrame | None = None, work: str | None = None
+) -> DataFrame:
+    return _merge("dc", dc_rows(meta), effective, existing, work)
 
 
 def dim_product(
@@ -158,8 +166,9 @@ def dim_product(
     vendor: DataFrame,
     effective: Column,
     existing: DataFrame | None = None,
+    work: str | None = None,
 ) -> DataFrame:
-    return _merge("product", product_rows(meta, author, vendor), effective, existing)
+    return _merge("product", product_rows(meta, author, vendor), effective, existing, work)
 
 
 def station_vendor(meta: DataFrame) -> DataFrame:
@@ -200,25 +209,44 @@ def dim_currency(spark: SparkSession) -> DataFrame:
     return _seed(spark, CURRENCY_SEED, columns, DIM_CURRENCY, "currency_key")
 
 
-def exchange_rates(rates: DataFrame, currency: DataFrame) -> DataFrame:
-    """Rate rows (from_code, to_code, rate_date, exchange_rate, rate_source) as the bridge table."""
+def exchange_rates(rates: DataFrame, currency: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rate rows (from_code, to_code, rate_date, exchange_rate, rate_source) as the bridge table, and
+    the rows that do not fit it, with a reason."""
     codes = currency.select("currency_code", "currency_key")
     source = codes.toDF("from_code", "from_currency_key")
     target = codes.toDF("to_code", "to_currency_key")
-    day = F.col("rate_date").cast("date")
-    key_order = F.xxhash64("from_currency_key", "to_currency_key", day)
-    made = rates.join(source, "from_code").join(target, "to_code").select(
-        key_order.alias("exchange_rate_key"),
+    day = F.col("rate_date").try_cast("date")
+    rate = n.fit(F.col("exchange_rate"), n.RATE)
+    joined = rates.join(source, "from_code", "left").join(target, "to_code", "left")
+    reason = (
+        F.when(F.col("from_currency_key").isNull(), "UNKNOWN_FROM_CURRENCY")
+        .when(F.col("to_currency_key").isNull(), "UNKNOWN_TO_CURRENCY")
+        .when(day.isNull(), "NO_DATE")
+        .when(rate.isNull(), "RATE_DOES_NOT_FIT")
+        .when(rate <= 0, "RATE_NOT_POSITIVE")
+    )
+    tagged = joined.withColumn("reject_reason", reason)
+    fits = tagged.filter(F.col("reject_reason").isNull())
+    made = fits.select(
+        F.xxhash64("from_currency_key", "to_currency_key", day).alias("exchange_rate_key"),
         "from_currency_key",
         "to_currency_key",
         F.date_format(day, "yyyyMMdd").cast("int").alias("time_key"),
-        n.fit(F.col("exchange_rate"), n.RATE).alias("exchange_rate"),
+        rate.alias("exchange_rate"),
         day.alias("rate_date"),
         "rate_source",
         F.current_timestamp().alias("created_date"),
         F.current_user().alias("created_by"),
     )
-    return made.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EXCHANGE_RATE.fields])
+    made = made.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in EXCHANGE_RATE.fields])
+    refused = tagged.filter(F.col("reject_reason").isNotNull()).select(*rates.columns, "reject_reason")
+    return made, refused
+
+
+def misfits(meta: DataFrame) -> DataFrame:
+    """Vendor scores of meta rows that the dimension cannot hold: (vendor_id, vendor_score)."""
+    lost = n.overflowed(F.col("vendor_score"), n.SCORE)
+    return meta.filter(lost).select("vendor_id", "vendor_score").distinct()
 
 
 def with_unknown(dim: DataFrame, key: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from foliomart.functions import numeric as n
 from foliomart.operators import quality as q
 from foliomart.operators.keys import assign_keys, first_per_key, rest_of
-from foliomart.operators.lookups import Star, ambiguous, attach, current, looked_up, sized, unique_by
+from foliomart.operators.lookups import Star, ambiguous, current, looked_up, unique_by
 from foliomart.schemas import (
     DEFAULT_RATES,
     FACT_DAILY,
@@ -43,6 +43,12 @@ class _Measures:
         self.df = df
         self.overflows: list[tuple[Column, str]] = []
 
+    def operands(self, *columns: str) -> None:
+        """Narrow staged numbers for exact arithmetic; larger ones would fit no measure either."""
+        self.df = self.df.withColumns({f"_large_{c}": n.overflowed(F.col(c), n.OPERAND) for c in columns})
+        self.df = self.df.withColumns({c: n.fit(F.col(c), n.OPERAND) for c in columns})
+        self.overflows += [(F.col(f"_large_{c}"), f"OVERFLOW_{c.upper()}") for c in columns]
+
     def level(self, **values: tuple[Column, str]) -> None:
         """Add columns that depend only on earlier levels."""
         self.df = self.df.withColumns({name: n.fit(v, dtype) for name, (v, dtype) in values.items()})
@@ -56,14 +62,15 @@ def _broken(checks: dict[str, str]) -> list[tuple[Column, str]]:
     return [(~n.holds(F.expr(sql)), name.upper()) for name, sql in checks.items()]
 
 
-def _lookup(rows: DataFrame, star: Star, dim: str, found: DataFrame, name: str, on: Column) -> DataFrame:
-    return rows.join(star.sized(dim, found), on == F.col(f"_{name}_on"), "left")
+def _lookup(
+    rows: DataFrame, star: Star, dim: str, found: DataFrame, name: str, on: Column, work: str
+) -> DataFrame:
+    return rows.join(star.sized(dim, found, work), on == F.col(f"_{name}_on"), "left")
 
 
 def _time(rows: DataFrame, star: Star) -> DataFrame:
-    # the calendar has one row per day, so it is always small
-    days = star["time"].select(F.col("full_date").alias("_full_date"), "time_key")
-    return rows.join(F.broadcast(days), F.col("date_parsed") == F.col("_full_date"), "left")
+    days = star.sized("time", star["time"].select(F.col("full_date").alias("_full_date"), "time_key"))
+    return rows.join(days, F.col("date_parsed") == F.col("_full_date"), "left")
 
 
 def exchange_rate(
@@ -89,14 +96,14 @@ def exchange_rate(
         .agg(F.min("exchange_rate").alias("_dated"))
     )
     return (
-        attach(rows, dated, ["currency_key", "time_key"])
+        rows.join(dated, ["currency_key", "time_key"], "left")
         .withColumn("exchange_rate", F.coalesce("_dated", fallback))
         .drop("_dated")
     )
 
 
 def _sales_tagged(
-    staged: DataFrame, star: Star, rates: DataFrame | None, unknown: str, dc_map: DataFrame | None
+    staged: DataFrame, star: Star, rates: DataFrame | None, unknown: str, dc_map: DataFrame | None, work: str
 ) -> DataFrame:
     rows = _time(ready(staged), star)
 
@@ -111,10 +118,10 @@ def _sales_tagged(
         star["product_type"], F.upper("product_type_name"), ["product_type_key"], "kind"
     )
     money = unique_by(star["currency"], F.col("currency_code"), ["currency_key"], "money")
-    rows = _lookup(rows, star, "product", product, "product", F.col("ed_id"))
-    rows = _lookup(rows, star, "channel", channel, "channel", F.col("chnl"))
-    rows = _lookup(rows, star, "product_type", kind, "kind", type_name_key(F.col("typ")))
-    rows = _lookup(rows, star, "currency", money, "money", F.col("curr"))
+    rows = _lookup(rows, star, "product", product, "product", F.col("ed_id"), work)
+    rows = _lookup(rows, star, "channel", channel, "channel", F.col("chnl"), work)
+    rows = _lookup(rows, star, "product_type", kind, "kind", type_name_key(F.col("typ")), work)
+    rows = _lookup(rows, star, "currency", money, "money", F.col("curr"), work)
 
     centers = current(star["dc"]).filter(F.col("dc_key") != UNKNOWN_KEY)
     missing = F.lit(UNKNOWN_KEY).cast("bigint")
@@ -124,8 +131,9 @@ def _sales_tagged(
     else:
         on = next(c for c in dc_map.columns if c != "station_code")
         mapped = dc_map.join(centers.select("station_code", "dc_key"), "station_code")
-        by_column = unique_by(mapped, F.col(on), ["dc_key"], "center")
-        rows = rows.join(sized(by_column), F.col(on) == F.col("_center_on"), "left")
+        # written, so that a map of any size is a plain side of the join
+        by_column = saved(unique_by(mapped, F.col(on), ["dc_key"], "center"), f"{work}/centers")
+        rows = rows.join(by_column, F.col(on) == F.col("_center_on"), "left")
         dc_key = looked_up("center", "dc_key")
     rows = rows.withColumns(
         {
@@ -140,8 +148,9 @@ def _sales_tagged(
     )
     rows = exchange_rate(rows, star, rates)
 
-    discount = F.coalesce("dscnt", "discount_imputed")
     m = _Measures(rows)
+    m.operands("tqty", "uprice", "dscnt", "discount_imputed", "pd", "bc", "vscr")
+    discount = F.coalesce("dscnt", "discount_imputed")
     m.level(
         quantity_sold=(F.col("tqty"), n.QUANTITY),
         unit_price_original=(F.col("uprice"), n.MONEY),
@@ -156,7 +165,7 @@ def _sales_tagged(
         gross_amount_gbp=(F.col("unit_price_gbp") * F.col("tqty"), n.MONEY),
         total_cost_gbp=(F.col("unit_cost_gbp") * F.col("tqty"), n.MONEY),
     )
-    applied = F.coalesce(discount, F.lit(0).cast(n.STAGED))
+    applied = F.coalesce(discount, F.lit(0).cast(n.OPERAND))
     m.level(discount_amount_gbp=(F.col("gross_amount_gbp") * applied, n.MONEY))
     m.level(net_amount_gbp=(F.col("gross_amount_gbp") - F.col("discount_amount_gbp"), n.MONEY))
     m.level(gross_profit_gbp=(F.col("net_amount_gbp") - F.col("total_cost_gbp"), n.MONEY))
@@ -195,7 +204,7 @@ def _finish(
     batch_id: int,
     existing: DataFrame | None,
     first_key: int | None,
-    work: str | None,
+    work: str,
 ) -> tuple[DataFrame, DataFrame]:
     """First valid row per unique key becomes a fact row; every other row a reject."""
     audit = {
@@ -207,7 +216,6 @@ def _finish(
         "created_by": F.current_user(),
     }
     measures = [f.name for f in schema.fields if f.name not in {*audit, key}]
-    work = work or scratch_path(tagged.sparkSession, key)
     # Lookups and arithmetic run once: the split below reads this narrow table several times.
     carried = list(dict.fromkeys([id_col, "date_parsed", *measures]))
     tagged = saved(tagged.select(*carried, "reject_reason"), f"{work}/tagged")
@@ -251,14 +259,15 @@ def build_fact_sales(
     The looked-up rows and the accepted ones are written to ``work`` (a folder the executors
     share) on the way, so lookups and arithmetic run once.
     """
-    tagged = _sales_tagged(staged, star, rates, unknown, dc_map)
+    work = work or scratch_path(staged.sparkSession, "fact-sales")
+    tagged = _sales_tagged(staged, star, rates, unknown, dc_map, work)
     return _finish(
         tagged, staged, FACT_SALES, "sales_fact_key", ["sale_number"], "stg_sales_id",
         "RAW_SALES", batch_id, existing, first_key, work,
     )
 
 
-def _daily_tagged(staged: DataFrame, star: Star) -> DataFrame:
+def _daily_tagged(staged: DataFrame, star: Star, work: str) -> DataFrame:
     rows = _time(ready(staged), star)
     # station -> center and vendor; the bridge ties a station to its vendor
     centers = current(star["dc"]).select("station_code", "dc_key")
@@ -277,8 +286,8 @@ def _daily_tagged(staged: DataFrame, star: Star) -> DataFrame:
     )
     products = current(star["product"]).filter(F.col("product_key") != UNKNOWN_KEY)
     # at most one row per bridge row
-    rows = _lookup(rows, star, "station_vendor", station, "station", F.col("stn_code"))
-    rows = _lookup(rows, star, "product_type", kind, "kind", type_name_key(F.col("typ")))
+    rows = _lookup(rows, star, "station_vendor", station, "station", F.col("stn_code"), work)
+    rows = _lookup(rows, star, "product_type", kind, "kind", type_name_key(F.col("typ")), work)
     rows = rows.withColumns(
         {
             "dc_key": looked_up("station", "dc_key"),
@@ -288,9 +297,10 @@ def _daily_tagged(staged: DataFrame, star: Star) -> DataFrame:
             "product_key": products.agg(F.min("product_key")).scalar(),
         }
     )
-    returns = F.coalesce(F.col("rv"), F.lit(0).cast(n.STAGED))
-    whole = "decimal(10,0)"
     m = _Measures(rows)
+    m.operands("pd", "bc", "us", "rv", "rev", "tmp", "hmd", "vscr")
+    returns = F.coalesce(F.col("rv"), F.lit(0).cast(n.OPERAND))
+    whole = "decimal(10,0)"
     m.level(
         print_run_qty=(F.col("pd"), whole),
         binding_cost_gbp=(F.col("bc"), n.MONEY),
@@ -333,7 +343,8 @@ def build_fact_daily(
 
     The star needs ``station_vendor`` (station_code, vendor_id) beside the dimensions.
     """
-    tagged = _daily_tagged(staged, star)
+    work = work or scratch_path(staged.sparkSession, "fact-daily")
+    tagged = _daily_tagged(staged, star, work)
     return _finish(
         tagged, staged, FACT_DAILY, "daily_ops_fact_key",
         ["time_key", "dc_key", "product_type_key"], "stg_daily_id",

@@ -8,9 +8,8 @@ from pyspark.sql import types as T
 
 from foliomart.operators.lookups import matching
 
-# Rows of one day are numbered in this many (or, for whole-number ids, this wide) pieces.
-HASH_PIECES = 1024
-ID_PIECE = 1_000_000
+# Rows of one day are numbered in pieces of about this many rows.
+PIECE_ROWS = 100_000
 
 
 def first_per_key(
@@ -56,17 +55,31 @@ def assign_keys(
 ) -> DataFrame:
     """Number rows densely from ``start``: by day, then piece of the day, then id.
 
-    Each day is cut into pieces: ranges of ``pieces`` consecutive ids for whole-number ids (the
-    order is then plain day, id), else ``pieces`` hash classes. Rows are counted per piece, the
-    counts are summed up to a first number per piece, and rows are numbered inside a piece, so
-    no task sorts more than one piece even if one day holds most rows.
+    Each day is cut into as many pieces as its rows need (or ``pieces``): equal ranges of the day's
+    ids for whole-number ids (the order is then plain day, id), else ranges of their hash. Rows are counted
+    per piece, the counts are summed up to a first number per piece, and rows are numbered inside
+    a piece. A day's rows thus never meet in one task, and it has few pieces however far apart its
+    ids lie. Ranges whose ids crowd together are larger than others.
     """
-    if isinstance(df.schema[id_col].dataType, (T.IntegerType, T.LongType)):
-        piece = F.floor(F.col(id_col) / F.lit(pieces or ID_PIECE))
+    whole = isinstance(df.schema[id_col].dataType, (T.IntegerType, T.LongType))
+    low, high = (F.min(id_col), F.max(id_col)) if whole else (F.lit(0), F.lit(0))
+    dated = df.withColumn("_day", F.coalesce(F.col(day_col), F.lit("1000-01-01").cast("date")))
+    # one row per day
+    spans = dated.groupBy("_day").agg(
+        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / PIECE_ROWS) if pieces is None else F.lit(pieces)).cast("bigint").alias("_pieces"),
+        low.cast("bigint").alias("_low"), high.cast("bigint").alias("_high"),
+    )
+    if whole:
+        # doubles may put two neighbours into one range or split them, but never out of order
+        place = (F.col(id_col) - F.col("_low")).cast("double") / (F.col("_high") - F.col("_low") + 1).cast("double")
+        piece = F.least(F.floor(place * F.col("_pieces")), F.col("_pieces") - 1)
+        order = [F.col(id_col)]
     else:
-        piece = F.pmod(F.xxhash64(F.col(id_col)), F.lit(pieces or HASH_PIECES))
-    cut = df.withColumns({"_day": F.coalesce(F.col(day_col), F.lit("1000-01-01").cast("date")),
-                          "_piece": piece.cast("bigint")})
+        place = F.xxhash64(F.col(id_col)).cast("double") / F.lit(2.0**64) + F.lit(0.5)
+        piece = F.least(F.floor(place * F.col("_pieces")), F.col("_pieces") - 1)
+        order = [F.xxhash64(F.col(id_col)), F.col(id_col)]
+    cut = dated.join(F.broadcast(spans), "_day").withColumn("_piece", piece.cast("bigint"))
+    cut = cut.select(*df.columns, "_day", "_piece")
     counts = cut.groupBy("_day", "_piece").agg(F.count(F.lit(1)).alias("_n"))
     earlier = (Window.unboundedPreceding, -1)
     # one row per day: as many as the calendar has days
@@ -78,7 +91,7 @@ def assign_keys(
         days, "_day"
     )
     first = start if isinstance(start, Column) else F.lit(start)
-    position = F.row_number().over(Window.partitionBy("_day", "_piece").orderBy(id_col))
+    position = F.row_number().over(Window.partitionBy("_day", "_piece").orderBy(*order))
     numbered = cut.join(
         offsets.select("_day", "_piece", (F.col("_day_offset") + F.col("_piece_offset")).alias("_before")),
         ["_day", "_piece"],

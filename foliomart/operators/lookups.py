@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliomart.session import saved
+
 # Dimension columns have declared widths (a row is under 1 KB), so this many rows stay
 # below 200 MB on every executor.
 BROADCAST_ROWS = 200_000
@@ -26,14 +28,17 @@ class Star(dict):
             self._rows = {r["name"]: r["n"] for r in reduce(DataFrame.unionByName, counts).collect()}
         return self._rows[name]
 
-    def sized(self, name: str, derived: DataFrame | None = None) -> DataFrame:
+    def sized(self, name: str, derived: DataFrame | None = None, work: str | None = None) -> DataFrame:
         """The dimension, or a frame with no more rows than it, marked for broadcast if small.
 
-        A large one is returned unmarked: Spark then shuffles both sides and adaptive execution
-        splits the partitions a hot key fills.
+        A large derived frame is written to ``work`` and read again. Spark then shuffles both sides
+        as they are and adaptive execution splits the partitions a hot key fills, which it does
+        not do where a side is an aggregate.
         """
         df = self[name] if derived is None else derived
-        return F.broadcast(df) if self.rows(name) <= BROADCAST_ROWS else df
+        if self.rows(name) <= BROADCAST_ROWS:
+            return F.broadcast(df)
+        return df if derived is None or work is None else saved(df, f"{work}/lookup-{name}")
 
 
 def sized(side: DataFrame) -> DataFrame:

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from foliomart.functions import numeric as n
 from foliomart.functions.dates import parsed_date
-from foliomart.operators.lookups import attach
 from foliomart.schemas import QUALITY_LOG, SOURCE_COLUMNS
 
 
@@ -91,18 +90,18 @@ def _rule_columns(df: DataFrame, rules: Rules) -> list[tuple[str, str, Column, s
     have = set(df.columns)
     out = []
     for c in rules.numeric:
-        out.append((f"numeric:{c}", "WARNING", _number(c).isNull(), "non-numeric values"))
+        out.append((f"numeric:{c}", "WARNING", _number(c).isNull(), "cells without a number"))
     for c in rules.positive:
-        out.append((f"positive:{c}", "ERROR", _number(c) < 0, "negative values (should be positive)"))
+        out.append((f"positive:{c}", "ERROR", _number(c) < 0, "values below zero"))
     for c, (low, high) in rules.ranges.items():
         bad = (_number(c) < low) | (_number(c) > high)
-        out.append((f"range:{c}", "WARNING", bad, f"values out of range [{low}, {high}]"))
+        out.append((f"range:{c}", "WARNING", bad, f"values not between {low} and {high}"))
     for c, allowed in rules.categories.items():
         bad = ~F.coalesce(_cell(c).isin(*allowed), F.lit(False))
-        out.append((f"category:{c}", "ERROR", bad, f"invalid values (expected: {allowed})"))
+        out.append((f"category:{c}", "ERROR", bad, f"values that are none of {', '.join(map(str, allowed))}"))
     for c in rules.dates:
         bad = _cell(c).isNotNull() & parsed_date(_cell(c)).isNull()
-        out.append((f"date:{c}", "WARNING", bad, "unparseable dates"))
+        out.append((f"date:{c}", "WARNING", bad, "dates in no known format"))
     return [rule for rule in out if rule[0].split(":", 1)[1] in have]
 
 
@@ -246,7 +245,8 @@ def impute_discount(df: DataFrame, how: str = "none", by: str = "chnl") -> DataF
     # four exact digits of sum / count, so partial sums in any order agree
     centre = n.mean(F.col("dscnt")).cast("decimal(38,10)").cast(n.DISCOUNT).cast(n.STAGED)
     means = df.groupBy(by).agg(centre.alias("_centre"))
-    filled = attach(df, means, [by])
+    # one row per channel: adaptive execution broadcasts it by the size it turns out to have
+    filled = df.join(means, by, "left")
     return filled.withColumn(
         "discount_imputed", F.when(F.col("dscnt").isNull(), F.col("_centre"))
     ).drop("_centre")

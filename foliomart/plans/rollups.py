@@ -236,6 +236,18 @@ def refresh(warehouse: Warehouse, name: str, df: DataFrame) -> DataFrame:
     return warehouse.current(f"rollup/{name}")
 
 
+def refresh_touched(
+    warehouse: Warehouse, name: str, fact: DataFrame, build: Callable[[DataFrame], DataFrame], years: list[int]
+) -> DataFrame:
+    """Recompute the given years of a stored rollup; the others are taken over from its last version."""
+    if not years:
+        return warehouse.current(f"rollup/{name}")
+    months = F.col("year_month").between(min(years) * 100, max(years) * 100 + 99) if "year_month" in fact.columns else F.lit(True)
+    part = fact.filter(months & F.floor(F.col("time_key") / 10000).cast("int").isin(*years))
+    kept = warehouse.current(f"rollup/{name}").filter(~F.col("year").isin(*years))
+    return refresh(warehouse, name, kept.unionByName(build(part)))
+
+
 def refresh_years(df: DataFrame, path: str, years: list[int]) -> None:
     """Replace only the given years of a rollup stored by year."""
     (

@@ -6,13 +6,13 @@ import datetime as dt
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomart.functions import numeric as n
-from foliomart.operators.lookups import attach
 from foliomart.plans.queries import dc_ranking
 from foliomart.plans.rollups import partial, total, vendor_cost_analysis, with_days
+from foliomart.schemas import UNKNOWN_KEY
 
 
 def correlations(fact: DataFrame, by: str, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -43,16 +43,32 @@ def outliers(
         score = (x - F.col("_centre")) / F.nullif(F.col("_spread"), F.lit(0.0))
         far = F.abs(F.col("score")) > limit
     elif method == "iqr":
-        quartiles = F.percentile_approx(x, [0.25, 0.75], 10000)
-        figures = fact.groupBy(by).agg(quartiles.alias("_q")).select(
-            by, F.col("_q")[0].alias("_low"), F.col("_q")[1].alias("_high")
-        )
+        figures = quartiles(fact, by, measure)
         width = F.nullif(F.col("_high") - F.col("_low"), F.lit(0.0))
         score = F.greatest(F.col("_low") - x, x - F.col("_high")) / width
         far = F.col("score") > limit
     else:
         raise ValueError(f"unknown method {method!r}")
-    return attach(fact, figures, [by]).withColumn("score", score).filter(far).select(*fact.columns, "score")
+    # one row per group: adaptive execution broadcasts it by the size it turns out to have
+    return fact.join(figures, by).withColumn("score", score).filter(far).select(*fact.columns, "score")
+
+
+def quartiles(fact: DataFrame, by: str, measure: str) -> DataFrame:
+    """The discrete first and third quartile per group, exactly.
+
+    Rows are counted per distinct value first (map-side sums), so a group is sorted by its distinct
+    values, which the measure's digits bound, and not by its rows.
+    """
+    counts = fact.filter(F.col(measure).isNotNull()).groupBy(by, measure).agg(F.count(F.lit(1)).alias("_n"))
+    in_group = Window.partitionBy(by)
+    upto = F.sum("_n").over(in_group.orderBy(measure).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumns({"_upto": upto, "_all": F.sum("_n").over(in_group)})
+    x = F.col(measure).cast("double")
+
+    def at(share: float) -> Column:
+        return F.min(F.when(F.col("_upto") >= F.ceil(F.col("_all") * share), x))
+
+    return ranked.groupBy(by).agg(at(0.25).alias("_low"), at(0.75).alias("_high"))
 
 
 def quarterly_revenue(fact: DataFrame, dims: dict) -> DataFrame:
@@ -125,7 +141,7 @@ def vendor_trend(fact: DataFrame, dims: dict, version: str = "as_recorded") -> D
 
 def author_features(fact: DataFrame, dims: dict) -> DataFrame:
     """What authors are grouped by: volume, revenue, profit, margin and discount."""
-    author = dims["author"].select("author_key", "author_id")
+    author = dims["author"].filter(F.col("author_key") != UNKNOWN_KEY).select("author_key", "author_id")
     reduced = partial(
         fact, ["author_key"], ["quantity_sold", "net_amount_gbp", "gross_profit_gbp"],
         ["gross_margin_pct", "discount_rate"],

@@ -20,8 +20,7 @@ def stage(
 ) -> DataFrame:
     """Source columns under staging names, numbers typed, tracking columns set to PENDING / N.
 
-    A cell that is no number, or has more digits than staging keeps, is named in
-    ``validation_errors``. Ids follow the file order (unique, not dense); write the result before using them further.
+    A cell that is no number is named in ``validation_errors``. Ids follow the file order (unique, not dense); write the result before using them further.
     """
     if source not in SOURCE_COLUMNS:
         raise ValueError(f"unknown source {source!r}")
@@ -34,10 +33,8 @@ def stage(
         cell = F.col(f"`{header}`") if header in have else F.lit(None).cast("string")
         text = F.nullif(F.trim(cell), F.lit(""))
         if column in numeric:
-            number, exact = n.fit(text, n.STAGED), n.fit(text, "decimal(38,18)")
-            lost = text.isNotNull() & ~F.coalesce(number == exact, F.lit(False))
-            bad.append(F.when(lost, F.lit(f"{column} not a number of up to six decimals")))
-            values[column] = number
+            values[column] = n.fit(text, n.STAGED)
+            bad.append(F.when(n.overflowed(text, n.STAGED), F.lit(f"{column} not a number")))
         else:
             values[column] = F.nullif(cell, F.lit(""))
         if column == "date_stamp":

@@ -16,7 +16,7 @@ from foliomart.functions import numeric as n
 from foliomart.operators import dimensions as d
 from foliomart.operators.calendar import calendar
 from foliomart.operators.facts import build_fact_daily, build_fact_sales
-from foliomart.operators.lookups import Star, attach
+from foliomart.operators.lookups import Star
 from foliomart.schemas import staging_schema
 from foliomart.session import saved, scratch_path
 from foliomart.sources.warehouse import write_fact
@@ -54,7 +54,7 @@ def staged_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Both sides grow with the data, so they are shuffled and never broadcast; adaptive execution
     # splits the partition of a hot order.
     sold = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    sold = attach(sold.withColumnRenamed("l_partkey", "p_partkey"), part, ["p_partkey"], "inner")
+    sold = sold.withColumnRenamed("l_partkey", "p_partkey").join(part, "p_partkey")
     currency = F.when(F.col("l_returnflag") == "A", "USD").when(F.col("l_returnflag") == "R", "EUR")
     return _staged(
         sold,
@@ -87,8 +87,7 @@ def staged_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_type", "p_size", "p_retailprice"
     )
-    moved = attach(lines, part, ["l_partkey"], "inner")
-    moved = attach(moved, supplier_nation(spark, sf_dir), ["l_suppkey"], "inner")
+    moved = lines.join(part, "l_partkey").join(supplier_nation(spark, sf_dir), "l_suppkey")
     quantity = F.col("l_quantity").cast("decimal(10,0)")
     day = F.col("l_shipdate").cast("date")
     daily = moved.groupBy(day.alias("day"), "n_name", "p_type").agg(
@@ -253,16 +252,20 @@ def stored_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def meta_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts with lead supplier, nation and brand as staged meta rows."""
+    """Parts with every supplier that ships them, its nation and the brand as staged meta rows.
+
+    A part that nobody ships has one row without a supplier.
+    """
     part = table(spark, sf_dir, "part")
-    lead = lead_supplier(spark, sf_dir).withColumnRenamed("vendor_key", "s_suppkey")
+    shipped = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey")
+    ).distinct()
     supplier = table(spark, sf_dir, "supplier")
     nation = table(spark, sf_dir, "nation")
     region = table(spark, sf_dir, "region")
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    rows = part.join(lead, "p_partkey").join(supplier, "s_suppkey").join(
-        places, F.col("s_nationkey") == F.col("n_nationkey")
-    )
+    makers = supplier.join(places, F.col("s_nationkey") == F.col("n_nationkey"))
+    rows = part.join(shipped.join(makers, "s_suppkey"), "p_partkey", "left")
     brand = F.substring("p_brand", 7, 10)
     return rows.select(
         F.col("n_name").alias("station_id"),

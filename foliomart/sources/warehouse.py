@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliomart.schemas import BATCH_LOG, QUALITY_LOG, STATUSES, STEP_LOG, schema_of
+from foliomart.session import discard
 
 _VERSIONS = schema_of("version bigint, committed_at timestamp")
 
@@ -51,14 +52,16 @@ class Warehouse:
         log = self.read(f"{table}/versions", _VERSIONS)
         return log.agg(F.max("version").alias("v")).first()["v"]
 
-    def replace(self, table: str, df: DataFrame) -> int:
-        """Write a new version and switch readers to it."""
+    def replace(self, table: str, df: DataFrame, keep: int = 2) -> int:
+        """Write a new version and switch readers to it; ``keep`` versions stay for open readers."""
         version = (self._committed(table) or 0) + 1
         df.write.mode("overwrite").parquet(self.path(f"{table}/v={version}"))
         note = self.spark.range(0, 1, 1, 1).select(
             F.lit(version).cast("bigint").alias("version"), F.current_timestamp().alias("committed_at")
         )
         self.append(f"{table}/versions", note)
+        if version > keep:
+            discard(self.spark, self.path(f"{table}/v={version - keep}"))
         return version
 
     def current(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
@@ -159,6 +162,20 @@ def rewrite_months(fact: DataFrame, path: str) -> None:
     )
 
 
+def in_months(fact: DataFrame, months: list[int] | None) -> DataFrame:
+    """The partitions of a stored fact that hold the given months."""
+    if months is None or "year_month" not in fact.columns:
+        return fact
+    return fact.filter(F.col("year_month").isin(*months)) if months else fact.limit(0)
+
+
+def months_of(rows: DataFrame, day: str = "date_parsed") -> list[int]:
+    """The months of some rows, as partition values; one number per calendar month."""
+    month = (F.year(day) * 100 + F.month(day)).cast("int")
+    found = rows.filter(F.col(day).isNotNull()).select(month.alias("m")).distinct()
+    return sorted(r["m"] for r in found.collect())
+
+
 def next_batch_id(fact: DataFrame) -> int:
     return fact.agg((F.coalesce(F.max("load_batch_id"), F.lit(0)) + 1).alias("id")).first()["id"]
 

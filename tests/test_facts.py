@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliomart.operators import dimensions as d
-from foliomart.operators import lookups
+from foliomart.operators import facts, lookups
 from foliomart.operators.calendar import calendar
 from foliomart.operators.facts import build_fact_sales, load_summary, type_name_key
 from foliomart.operators.lookups import Star
@@ -63,13 +63,14 @@ def test_dimensions(star):
 
 
 def test_rate_of_the_day_into_the_base_currency(spark, star):
-    rates = d.exchange_rates(
+    rates, refused = d.exchange_rates(
         spark.createDataFrame(
             [("USD", "GBP", "2024-05-01", "0.5", "B"), ("USD", "EUR", "2024-05-01", "9", "B"), ("EUR", "GBP", "2024-05-02", "3", "B")],
             ["from_code", "to_code", "rate_date", "exchange_rate", "rate_source"],
         ),
         star["currency"],
     )
+    assert refused.count() == 0
     lines = [sale("S1"), sale("S2", DateStamp="2024-05-02"), sale("S3", Curr="EUR"), sale("S4", Curr="GBP")]
     fact, refused = build_fact_sales(staged(spark, SALES_HEADER, lines, "raw_sales"), star, 1, rates)
     got = {r["sale_number"]: r["unit_price_gbp"] for r in fact.collect()}
@@ -138,6 +139,30 @@ def test_large_dimensions_are_not_broadcast(spark, star, monkeypatch):
     for k, v in settings.items():
         spark.conf.set(k, v)
     try:
+        # the path of the loads: a large product dimension, two thirds of the sales in one edition
+        products = spark.range(1, 5000).select(
+            *[F.col("id").alias(c) if c == "product_key" else F.concat(F.lit("P"), F.col("id").cast("string")).alias(c)
+              if c == "edition_id" else F.lit("Y").alias(c) if c == "is_current"
+              else F.lit(None).cast(star["product"].schema[c].dataType).alias(c) for c in star["product"].columns]
+        )
+        wide = Star({**star, "product": star["product"].unionByName(products).checkpoint()})
+        one = staged(spark, SALES_HEADER, [sale("S1")], "raw_sales")
+        row = one.first()
+        changing = {
+            "stg_sales_id": F.col("id"), "sale_num": F.concat(F.lit("S"), F.col("id").cast("string")),
+            "ed_id": F.when(F.col("id") % 3 > 0, "E1").otherwise(F.concat(F.lit("P"), (F.col("id") % 5000).cast("string"))),
+        }
+        sales = spark.range(20000).select(
+            *[changing.get(f.name, F.lit(row[f.name])).cast(f.dataType).alias(f.name) for f in one.schema.fields]
+        ).checkpoint()
+        plans = []
+        real = facts.saved
+        monkeypatch.setattr(facts, "saved", lambda df, path: (plans.append(df), real(df, path))[1])
+        build_fact_sales(sales, wide, 1)
+        tagged = next(p for p in plans if "reject_reason" in p.columns)
+        tagged.collect()
+        assert "skew=true" in tagged._jdf.queryExecution().executedPlan().toString()
+
         big = lookups.attach(rows, side, ["ed_id"])
         assert big.filter("v = 2").count() == 100000
         big.write.format("noop").mode("overwrite").save()

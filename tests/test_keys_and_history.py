@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from foliomart.operators import keys
 from foliomart.operators.keys import assign_keys, first_valid
 from foliomart.operators.scd2 import as_of_versions, scd2_history, scd2_merge
 
@@ -50,6 +51,15 @@ def test_keys_of_text_ids_are_dense_and_stable(spark):
     assert sorted(first.values()) == list(range(1, 501)) and first == again
 
 
+def test_sparse_ids_of_one_hot_day_are_few_even_pieces(spark, monkeypatch):
+    monkeypatch.setattr(keys, "PIECE_ROWS", 100)
+    df = spark.range(3000).select(F.lit(DAY).alias("d"), (F.col("id") * 1_000_000_007).alias("id"))
+    made = assign_keys(df, "d", "id", "key", 1)
+    assert [r["key"] for r in made.orderBy("id").collect()] == list(range(1, 3001))
+    plan = made._jdf.queryExecution().logical().toString()
+    assert "_pieces" in plan
+
+
 def merge(current, incoming, day):
     return scd2_merge(current, incoming, "k", ["a", "b"], F.lit(day), "key", 1000)
 

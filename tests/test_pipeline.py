@@ -10,7 +10,7 @@ from foliomart.plans import pipeline
 from foliomart.plans.rollups import monthly_sales_summary
 from foliomart.schemas import FACT_DAILY, FACT_SALES
 from foliomart.sources.extract import extract, extract_all, total_rows
-from samples import DAILY, META, SALES, SALES_HEADER, write_extracts
+from samples import DAILY, META, META_HEADER, SALES, SALES_HEADER, write_extracts
 
 DAY = dt.date(2023, 1, 1)
 
@@ -47,11 +47,11 @@ def test_extract_names_missing_columns(spark, tmp_path):
 
 def test_sales_measures_round_at_every_step(loaded):
     warehouse, _ = loaded
-    row = warehouse.read("fact_sales", FACT_SALES).filter("sale_number = 'S9612'").first()
+    row = warehouse.read("fact_sales", FACT_SALES).filter("sale_number = 'S7301'").first()
     expected = {
-        "time_key": 20240727, "unit_price_gbp": "24.88", "gross_amount_gbp": "3259.28",
-        "discount_amount_gbp": "423.71", "net_amount_gbp": "2835.57", "unit_cost_gbp": "3.82",
-        "total_cost_gbp": "500.42", "gross_profit_gbp": "2335.15", "gross_margin_pct": "82.35",
+        "time_key": 20240314, "unit_price_gbp": "15.73", "gross_amount_gbp": "1887.60",
+        "discount_amount_gbp": "226.51", "net_amount_gbp": "1661.09", "unit_cost_gbp": "3.25",
+        "total_cost_gbp": "390.00", "gross_profit_gbp": "1271.09", "gross_margin_pct": "76.52",
     }
     for name, value in expected.items():
         assert row[name] == (Decimal(value) if isinstance(value, str) else value), name
@@ -82,7 +82,7 @@ def test_intermediate_tables_are_gone(loaded):
 def test_unknown_members_keep_the_sale(loaded):
     warehouse, _ = loaded
     fact = {r["sale_number"]: r for r in warehouse.read("fact_sales", FACT_SALES).collect()}
-    assert set(fact) == {"S9612", "S0002", "S0003", "S0011"}
+    assert set(fact) == {"S7301", "S0002", "S0003", "S0011"}
     assert fact["S0003"]["product_key"] == -1 and fact["S0003"]["unit_cost_gbp"] == 0
     lost = fact["S0011"]
     assert (lost["channel_key"], lost["currency_key"], lost["product_type_key"]) == (-1, -1, -1)
@@ -93,14 +93,14 @@ def test_unknown_members_keep_the_sale(loaded):
 def test_daily_measures_and_reasons(loaded):
     warehouse, _ = loaded
     fact = {r["time_key"]: r for r in warehouse.read("fact_daily", FACT_DAILY).collect()}
-    assert set(fact) == {20230124, 20230125}
-    row = fact[20230124]
+    assert set(fact) == {20230214, 20230125}
+    row = fact[20230214]
     for name, value in {
-        "unit_binding_cost": "2.8348", "cost_of_goods_sold": "2792.28", "gross_profit_gbp": "13695.42",
-        "gross_margin_pct": "83.06", "print_run_utilization": "98.40", "return_rate_pct": "5.99",
+        "unit_binding_cost": "2.6250", "cost_of_goods_sold": "2362.50", "gross_profit_gbp": "11637.50",
+        "gross_margin_pct": "83.13", "print_run_utilization": "75.00", "return_rate_pct": "4.44",
     }.items():
         assert row[name] == Decimal(value), name
-    assert row["net_units"] == 926
+    assert row["net_units"] == 860
     assert fact[20230125]["net_units"] == 507 and fact[20230125]["returns_qty"] == -7
     why = {(r["date_stamp"], r["stn_code"], r["pd"]): r["reject_reason"]
            for r in warehouse.read("rejected/raw_daily").collect()}
@@ -115,7 +115,7 @@ def test_logs_and_findings(loaded):
     assert (batch["status"], batch["records_processed"]) == ("COMPLETED", 6)
     assert {r["status"] for r in warehouse.steps().collect()} == {"COMPLETED"}
     found = {r["validation_rule"]: r for r in quality.issues(warehouse.quality()).collect()}
-    assert found["positive:RV"]["error_details"] == "RV: 1 negative values (should be positive)"
+    assert found["positive:RV"]["error_details"] == "RV: 1 values below zero"
     assert found["category:StnCode"]["invalid_records"] == 1
 
 
@@ -167,11 +167,78 @@ def test_later_life(spark, loaded, tmp_path):
     assert {r[0] for r in fact.filter("time_key > 20240731").select("sale_number").collect()} == {"A1", "A2"}
     assert fact.agg(F.max("sales_fact_key"), F.count("*")).first() == (100005, 6)
     staged = pipeline.staged_table(w, "raw_sales").groupBy("source_filename").count().collect()
-    assert {tuple(r) for r in staged} == {("one.csv", 2), ("two.csv", 1)}
+    assert {(r[0].rsplit("/", 1)[1].split("@")[0], r[1]) for r in staged} == {("one.csv", 2), ("two.csv", 1)}
     names = {r["batch_name"] for r in w.batches().filter("status = 'COMPLETED'").collect()}
     assert names == {"FULL_LOAD", "ARCHIVE_STAGING", "TRUNCATE_STAGING", "INCREMENTAL_LOAD"}
 
 
+def line(number, edition, day="2024-08-01", price="9.99"):
+    return f"{number},{day},{edition},CH001,1,{price},GBP,,10,5.00,5.0,Hardcover"
+
+
+def test_mixed_arrivals_and_new_meta(spark, tmp_path):
+    """Files seen by the full load, new ones, equal names in two folders, and meta before its sale."""
+    root, state = str(tmp_path / "w"), str(tmp_path / "state")
+    for name in ("sales/a", "sales/b", "meta"):
+        (tmp_path / "in" / name).mkdir(parents=True)
+
+    def deliver(name, *lines, header=SALES_HEADER):
+        (tmp_path / "in" / name).write_text("\n".join([header, *lines]) + "\n", encoding="utf-8")
+
+    deliver("sales/a/one.csv", line("A1", "E1"), line("A2", "E77"))
+    deliver("meta/first.csv", *META, header=META_HEADER)
+    folders = {"raw_meta": str(tmp_path / "in/meta"), "raw_sales": str(tmp_path / "in/sales/*")}
+    w = pipeline.run(spark, root, folders, DAY, days=(dt.date(2023, 1, 1), dt.date(2024, 12, 31)))
+    assert w.current("dim/time").count() == 731
+
+    # one more file in each folder, one of a name seen before; the edition sold before is now known
+    deliver("sales/b/one.csv", line("A3", "E77", price="9.1234567"))
+    deliver("sales/a/two.csv", line("A4", "E1"), line("A1", "E1"), line("A6", "E1", day="2025-05-05"))
+    deliver("meta/second.csv", META[0].replace("E1,First", "E77,Seventh").replace("V001", "V003"), header=META_HEADER)
+    for _ in range(2):
+        pipeline.run_incremental(spark, root, folders, state, DAY, days=(dt.date(2023, 1, 1), dt.date(2025, 12, 31)))
+    fact = {r["sale_number"]: r for r in w.read("fact_sales", FACT_SALES).collect()}
+    assert set(fact) == {"A1", "A2", "A3", "A4", "A6"}
+    seventh = w.current("dim/product").filter("edition_id = 'E77'").first()
+    assert fact["A2"]["product_key"] == -1 and fact["A3"]["product_key"] == seventh["product_key"]
+    assert fact["A3"]["unit_price_gbp"] == Decimal("9.12")
+    assert pipeline.staged_table(w, "raw_sales").count() == 6
+    assert w.current("dim/time").count() == 1096
+    # the duplicate is written down once, and nothing half done is left
+    refused = w.read("rejected/raw_sales").collect()
+    assert [(r["sale_num"], r["reject_reason"]) for r in refused] == [("A1", "DUPLICATE")]
+    assert not glob.glob(f"{root}/work/*") and len(glob.glob(f"{root}/dim/product/v=*")) == 2
+    total = w.current("rollup/channel_performance").groupBy("year").agg(F.sum("transaction_count")).collect()
+    assert {tuple(r) for r in total} == {(2024, 4), (2025, 1)}
+
+    # a file that staging forgot is still known, and rates come with a later load
+    pipeline.truncate_staging(spark, root)
+    deliver("sales/a/three.csv", line("A5", "E1").replace("GBP", "USD"))
+    rates = spark.createDataFrame(
+        [("USD", "GBP", "2024-08-01", "0.5", "bank"), ("USD", "GBP", "2024-08-02", "123456789", "bank"),
+         ("XXX", "GBP", "2024-08-01", "1", "bank"), ("USD", "GBP", "soon", "1", "bank")],
+        "from_code string, to_code string, rate_date string, exchange_rate string, rate_source string",
+    )
+    pipeline.run_incremental(spark, root, folders, str(tmp_path / "other"), DAY, rates=rates)
+    fact = {r["sale_number"]: r for r in w.read("fact_sales", FACT_SALES).collect()}
+    assert len(fact) == 6 and fact["A5"]["unit_price_gbp"] == Decimal("5.00")
+    why = {r["rate_date"] + r["from_code"]: r["reject_reason"] for r in w.read("rejected/exchange_rate").collect()}
+    assert why == {"2024-08-02USD": "RATE_DOES_NOT_FIT", "2024-08-01XXX": "UNKNOWN_FROM_CURRENCY", "soonUSD": "NO_DATE"}
+
+
+def test_loads_read_the_months_of_the_batch(spark, loaded):
+    from foliomart.sources.warehouse import in_months, months_of
+
+    w, _ = loaded
+    days = spark.createDataFrame([(dt.date(2023, 1, 25),), (None,), (dt.date(2023, 1, 2),)], "date_parsed date")
+    assert months_of(days) == [202301]
+    fact = in_months(w.read("fact_daily", FACT_DAILY), [202301])
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert "year_month" in filters and "202301" in filters
+    assert in_months(w.read("fact_daily", FACT_DAILY), []).count() == 0
+
+
 def test_failure_is_logged_and_raised(spark, tmp_path):
     w = pipeline.Warehouse(spark, str(tmp_path / "w"))
     load = pipeline.Load(w, "BROKEN")
