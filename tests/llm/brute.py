@@ -128,3 +128,57 @@ def targets(sizes, weights=(1, 2, 3), most=3):
             break
         free -= over
     return got
+
+
+def op5_verdict(rows, max_docs=10):
+    """{doc_id: (kept, text without boilerplate)} for rows (doc_id, text, source) with distinct doc_ids."""
+    up, low = "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000"
+    table = str.maketrans(up, low)
+    norm = {d: [b" ".join(words(line.translate(table))) for line in (t or "").split("\n")] for d, t, _ in rows}
+    held, around = defaultdict(set), defaultdict(lambda: (Counter(), Counter()))
+    for d, _, s in rows:
+        for i, line in enumerate(norm[d]):
+            if line:
+                held[s, line].add(d)
+                around[s, line][0][norm[d][i - 1] if i else None] += 1
+                around[s, line][1][norm[d][i + 1] if i + 1 < len(norm[d]) else None] += 1
+    bad = {
+        k for k, docs in held.items()
+        if len(docs) > max_docs and any(2 * max(c.values()) < sum(c.values()) for c in around[k])
+    }
+    base = {r[0]: r for r in op5_base([(d, t) for d, t, _ in rows])}
+    out = {}
+    for d, t, s in rows:
+        lines = (t or "").split("\n")
+        gone = [i for i, line in enumerate(norm[d]) if (s, line) in bad]
+        n = base[d][1]
+        left = n - sum(len(words(lines[i])) for i in gone)
+        depleted = left < n and (left < 25 or left < 0.3 * n)
+        text = "\n".join(x for i, x in enumerate(lines) if i not in gone) if gone else t
+        out[d] = (not base[d][6] and not depleted, text)
+    return out
+
+
+def cut_repeats(rows, length=50):
+    """{doc_id: text left} with removed runs shrunk to whole characters."""
+    first = {}
+    for doc, text in rows:
+        raw = (text or "").encode()
+        for i in range(len(raw) - length + 1):
+            w = raw[i : i + length]
+            first[w] = min(doc, first.get(w, doc))
+    out = {}
+    for doc, text in rows:
+        raw = (text or "").encode()
+        gone = bytearray(len(raw))
+        for i in range(len(raw) - length + 1):
+            if first[raw[i : i + length]] < doc:
+                gone[i : i + length] = b"\1" * length
+        kept, at = [], 0
+        for c in text or "":
+            n = len(c.encode())
+            if not all(gone[at : at + n]):
+                kept.append(c)
+            at += n
+        out[doc] = text if not any(gone) else "".join(kept)
+    return out
