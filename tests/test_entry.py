@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from entry_queries import QUERIES
+from entry_sql import ORACLES
 from tools.compare import rows_of
 
 duckdb = pytest.importorskip("duckdb")
@@ -27,16 +29,17 @@ def test_entry_runs(spark):
 
 def test_every_text_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"kmeans_segments", "outliers_iqr"}
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(QUERIES) - set(ORACLES) == {"kmeans_segments"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     assert got
-    if name in entry.oracle_sql():
-        result = duck.execute(entry.oracle_sql()[name])
+    if name in ORACLES:
+        result = duck.execute(ORACLES[name])
         columns = [d[0] for d in result.description]
         assert sorted(columns) == sorted(df.columns)
         assert got == rows_of(columns, result.fetchall())
