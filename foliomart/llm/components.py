@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomart.session import saved, scratch_path
+from foliomart.llm.stages import dropped, stored
 
 
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -19,26 +19,26 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """
     spark = links.sparkSession
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = saved(both, scratch_path(spark, "both"))
-    labels = saved(
-        both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component")),
-        scratch_path(spark, "labels"),
-    )
+    both = stored(both, "both")
+    labels = stored(
+        both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("component")), "labels")
     for _ in range(most_rounds):
         around = (
             both.join(labels.select(F.col("node").alias("b"), "component"), "b")
             .groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         )
-        hooked = saved(
-            labels.join(around, "node").select("node", F.least("component", "near").alias("component"), F.col("component").alias("was")),
-            scratch_path(spark, "hooked"),
+        hooked = stored(
+            labels.select("node", "component").join(around, "node").select(
+                "node", F.least("component", "near").alias("component"), F.col("component").alias("was")
+            ),
+            "hooked",
         )
         jump = hooked.select(F.col("node").alias("component"), F.col("component").alias("far"))
-        labels = saved(
-            hooked.join(jump, "component", "left").select("node", F.least("component", "far").alias("component"), "was"),
-            scratch_path(spark, "labels"),
+        before, labels = labels, stored(
+            hooked.join(jump, "component", "left").select("node", F.least("component", "far").alias("component"), "was"), "labels"
         )
+        dropped(before, hooked)
         if labels.where("component <> was").isEmpty():
+            dropped(both)
             return labels.select("node", "component")
-        labels = labels.select("node", "component")
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -15,14 +15,25 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ENTRIES = 1_500_000
+LEVEL = 6
 _ASK = "bucket int, block long, keys binary, weights binary"
 _ANSWER = "block long, bucket int, counts binary"
 
 
+def packed(*parts) -> bytes:
+    """Arrays or bytes one after another, compressed."""
+    return zstandard.ZstdCompressor(LEVEL).compress(b"".join(p if isinstance(p, bytes) else p.tobytes() for p in parts))
+
+
+def unpacked(body: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(body)
+
+
 def buckets_for(spark, entries: int) -> int:
     """As many buckets as keep each near ENTRIES, and enough to use the cluster."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(entries) // ENTRIES))
@@ -78,7 +89,7 @@ def answer(asked: DataFrame) -> DataFrame:
             {
                 "block": table["block"],
                 "bucket": table["bucket"],
-                "counts": pa.array([c.tobytes() for c in np.split(counts, ends)], pa.binary()),
+                "counts": pa.array([packed(c) for c in np.split(counts, ends)], pa.binary()),
             }
         )
 
@@ -90,7 +101,7 @@ def answered(table: pa.Table, keys: np.ndarray, n: int) -> np.ndarray:
     order, ends, _ = split(keys, n)
     counts = np.zeros(len(keys), np.uint32)
     for bucket, got in zip(table["bucket"].to_pylist(), table["counts"]):
-        counts[order[ends[bucket] : ends[bucket + 1]]] = np.frombuffer(got.as_buffer(), np.uint32)
+        counts[order[ends[bucket] : ends[bucket + 1]]] = np.frombuffer(unpacked(got.as_py()), np.uint32)
     return counts
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from foliomart.session import saved, scratch_path
+from foliomart.llm.stages import dropped, stored
 
 RANGES = 1024
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -89,14 +89,15 @@ def mix(
     # keys of a source lie on (0, inf); 1 - exp(-key) spreads them over (0, 1)
     ranged = rows.withColumn("range", F.floor((1.0 - F.exp(-F.col("key"))) * RANGES).cast("int"))
     ranged = ranged.withColumn("at", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")))
-    ranged = saved(ranged, scratch_path(spark, "sized"))
+    ranged = stored(ranged, "sized")
     sums = ranged.groupBy("at", "source", "range").agg(F.sum("size").alias("words"))
-    sums = saved(sums, scratch_path(spark, "range-sums"))
+    sums = stored(sums, "range-sums")
     goal = targets(sums.groupBy("source").agg(F.sum("words").alias("source_size")), weights, most)
     goal = goal.withColumn("at", F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))).drop("source")
     ahead = F.coalesce(F.sum("words").over(W.partitionBy("at").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     plan = sums.select("at", "range", ahead.alias("ahead")).join(goal, "at")
-    plan = saved(plan, scratch_path(spark, "mix-plan"))
+    plan = stored(plan, "mix-plan")
+    dropped(sums)
     inside = F.sum("size").over(
         W.partitionBy("at", "range").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
     )
@@ -116,9 +117,9 @@ def mix(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: a row per copy, with the columns of ``docs``."""
     spark = docs.sparkSession
-    rows = saved(docs.withColumn("_row", F.monotonically_increasing_id()), scratch_path(spark, "unmixed"))
-    copies = mix(rows, keep=("_row",), **options).where("copies > 0").select("_row", "copies")
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "unmixed")
+    copies = mix(rows, keep=("_row",), **options).where("copies > 0").select("_row", F.col("copies").cast("int").alias("_copies"))
     return (
-        rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+        rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
         .select(docs.columns)
     )

@@ -12,7 +12,7 @@ its hub (in a group of edited copies this is the text they derive from), and the
 are merged. Members are verified on full shingle sets, first against the hub, then those that did not
 join it against the others, skipping pairs already connected. So each group gives at most one link per
 member. A hub's members are dealt to parts of bounded size; members that did not join the hub are also
-compared with the other parts. Links are confirmed exactly, and classes connected through links share
+compared with the other parts, in chunks of bounded size. Links are confirmed exactly, and classes connected through links share
 the smallest doc_id as component.
 
 Null or wordless text: empty set, linked with nothing. Null doc_id: such a row takes no part and is
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from foliomart.llm import exchange
 from foliomart.llm.components import components
 from foliomart.llm.texts import encoded, mixed, shingles, slices, word_hashes
-from foliomart.session import saved, scratch_path
+from foliomart.llm.stages import dropped, stored
 
 M = 64
 MATCHES = 36
@@ -123,9 +123,10 @@ def _members(postings: DataFrame) -> DataFrame:
     best = F.max(F.struct("score", F.negative("node").alias("low")))
     hubs = postings.groupBy("posting").agg(best.alias("best"), F.count(F.lit(1)).alias("n"))
     hubs = hubs.where("n > 1").select("posting", F.negative("best.low").alias("hub"))
-    hubs = saved(hubs, scratch_path(postings.sparkSession, "hubs"))
-    found = postings.join(hubs, "posting").select("hub", "node").distinct()
-    return saved(found, scratch_path(postings.sparkSession, "members"))
+    hubs = stored(hubs, "hubs")
+    found = stored(postings.join(hubs, "posting").select("hub", "node").distinct(), "members")
+    dropped(hubs)
+    return found
 
 
 def jaccard_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -169,13 +170,9 @@ def links_inside(ids: list[int], sets: list[np.ndarray], sigs: np.ndarray, first
 
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links (a, b) between classes."""
-    spark = members.sparkSession
     sized = sets.groupBy("node").agg(F.max(F.octet_length("items")).alias("bytes"))
-    load = (
-        members.join(sized, "node").groupBy("hub")
-        .agg(F.ceil(F.greatest(F.sum("bytes") / PART_BYTES, F.count(F.lit(1)) / PART_ROWS)).cast("int").alias("parts"))
-    )
-    load = saved(load, scratch_path(spark, "load"))
+    share = F.ceil(F.greatest(F.lit(1), F.sum("bytes") / PART_BYTES, F.count(F.lit(1)) / PART_ROWS)).cast("int")
+    load = stored(members.join(sized, "node").groupBy("hub").agg(share.alias("parts")), "load")
     at = members.join(load, "hub").select("hub", "node", "parts", F.pmod(F.hash("node"), "parts").alias("part"))
     # the hub itself stands in every part
     at = at.where("hub <> node").unionByName(
@@ -204,19 +201,23 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             }
         )
 
-    found = saved(
-        full.groupBy("hub", "part").applyInArrow(inside, "hub long, a long, b long"), scratch_path(spark, "found")
-    )
+    found = stored(
+        full.groupBy("hub", "part").applyInArrow(inside, "hub long, a long, b long"), "found")
     links = found.where("b IS NOT NULL").select("a", "b")
-    # hubs of several parts: what did not join the hub goes to every other part
-    apart = found.where("b IS NULL").select("hub", F.col("a").alias("node")).distinct()
+    # hubs of several parts: what did not join the hub visits every part, in chunks of bounded size
+    apart = found.where("b IS NULL").select("hub", F.col("a").alias("node")).distinct().join(load.where("parts > 1"), "hub")
+    chunked = apart.join(sized, "node").groupBy("hub").agg(share.alias("chunks"))
+    chunked = stored(chunked, "chunks")
     guests = (
-        apart.join(load.where("parts > 1"), "hub")
-        .select("hub", "node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-        .join(sets, "node").select("hub", "part", "node", "items", "sig", F.lit(True).alias("guest"))
+        apart.join(chunked, "hub")
+        .select("hub", "node", F.pmod(F.hash("node"), "chunks").alias("chunk"),
+                F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        .join(sets, "node").select("hub", "part", "chunk", "node", "items", "sig", F.lit(True).alias("guest"))
     )
-    split = guests.select("hub", "part").distinct()
-    hosts = full.join(split, ["hub", "part"], "left_semi").select("hub", "part", "node", "items", "sig", F.lit(False).alias("guest"))
+    hosts = at.join(chunked, "hub").select(
+        "hub", "part", "node", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    )
+    hosts = hosts.join(sets, "node").select("hub", "part", "chunk", "node", "items", "sig", F.lit(False).alias("guest"))
 
     def across(table: pa.Table) -> pa.Table:
         asked = set(table.filter(table["guest"])["node"].to_pylist())
@@ -224,8 +225,10 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         links, _ = links_inside(ids, items, sigs, 0, percent, {i for i, x in enumerate(ids) if x in asked})
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
-    crossed = guests.unionByName(hosts).groupBy("hub", "part").applyInArrow(across, "a long, b long")
-    return links.unionByName(crossed).where("a <> b").distinct()
+    crossed = guests.unionByName(hosts).groupBy("hub", "part", "chunk").applyInArrow(across, "a long, b long")
+    links = stored(links.unionByName(crossed).where("a <> b").distinct(), "links")
+    dropped(load, found, chunked)
+    return links
 
 
 def near_duplicates(
@@ -234,22 +237,25 @@ def near_duplicates(
     """``docs`` with ``n_shingles``, ``component_id`` and ``kept`` (the smallest doc_id of its component)."""
     spark = docs.sparkSession
     docs = docs.select([c for c in docs.columns if c not in ("n_shingles", "component_id", "kept")])
-    rows = saved(_sets(docs, doc_id, text, words), scratch_path(spark, "signatures"))
+    rows = stored(_sets(docs, doc_id, text, words), "signatures")
     part = rows.where("class IS NOT NULL AND doc IS NOT NULL")
-    classes = saved(
+    classes = stored(
         part.groupBy("class").agg(F.min(F.struct("doc", "sig")).alias("x"), F.count(F.lit(1)).alias("n"))
-        .select("class", F.col("x.doc").alias("node"), F.col("x.sig").alias("sig")),
-        scratch_path(spark, "classes"),
-    )
-    blocks = saved(exchange.numbered(_blocks(classes)), scratch_path(spark, "blocks"))
+        .select("class", F.col("x.doc").alias("node"), F.col("x.sig").alias("sig")), "classes")
+    blocks = stored(exchange.numbered(_blocks(classes)), "blocks")
     n = exchange.buckets_for(spark, classes.count() * M)
     answers = exchange.answer(exchange.ask(blocks, _keys, n))
-    postings = saved(_postings(blocks, answers, n), scratch_path(spark, "postings"))
+    postings = stored(_postings(blocks, answers, n), "postings")
+    dropped(blocks)
     members = _members(postings)
-    wanted = saved(members.select("node").distinct(), scratch_path(spark, "wanted"))
-    sets = saved(_full_sets(docs, wanted, doc_id, text, words), scratch_path(spark, "sets"))
-    links = saved(_links(members, sets, percent), scratch_path(spark, "links"))
+    dropped(postings)
+    wanted = stored(members.select("node").distinct(), "wanted")
+    sets = stored(_full_sets(docs, wanted, doc_id, text, words), "sets")
+    dropped(wanted)
+    links = _links(members, sets, percent)
+    dropped(members, sets)
     labels = components(links)
+    dropped(links)
     named = (
         classes.select("class", "node").join(labels, "node", "left")
         .select("class", F.coalesce("component", "node").alias("component"))

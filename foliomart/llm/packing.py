@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from foliomart.llm.texts import Words, encoded, slices
-from foliomart.session import saved, scratch_path
+from foliomart.llm.stages import stored
 
 CAPACITY = 2048
 END = 0
@@ -292,10 +292,9 @@ def pack(
     """The pieces of all documents with sequence_id and offset; ``ids`` adds the tokens (little endian)."""
     spark = docs.sparkSession
     docs = docs.select([c for c in docs.columns if c not in ("sequence_id", "offset", "n")])
-    cut = saved(pieces(docs, vocabulary, text, capacity, ids), scratch_path(spark, "pieces"))
-    held = saved(
-        cut.groupBy("chunk", "length").agg(F.count(F.lit(1)).alias("n")), scratch_path(spark, "piece-counts")
-    )
+    cut = stored(pieces(docs, vocabulary, text, capacity, ids), "pieces")
+    held = stored(
+        cut.groupBy("chunk", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     # at most `capacity` rows
     counts = {r[0]: r[1] for r in held.groupBy("length").agg(F.sum("n")).collect()}
     rows = plan(counts, capacity)

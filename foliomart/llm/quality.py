@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliomart.llm.texts import encoded, mixed, slices, window_hashes, word_hashes
-from foliomart.session import saved, scratch_path
+from foliomart.llm.stages import dropped, stored
 
 SYMBOLS = b"#*$%&|<>"
 GAPS = b" \t\n\x0b\x0c\r"
@@ -161,7 +161,7 @@ def boilerplate(measured: DataFrame, host: str, max_docs: int, doc_id: str = "do
         held.groupBy("host", "line", "doc").agg(F.lit(1).alias("one"))
         .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
     )
-    often = saved(often, scratch_path(measured.sparkSession, "often"))
+    often = stored(often, "often")
     around = held.join(often, ["host", "line"])
     sides = (
         around.select("host", "line", F.explode(F.array(
@@ -172,7 +172,9 @@ def boilerplate(measured: DataFrame, host: str, max_docs: int, doc_id: str = "do
         .groupBy("host", "line", "side").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
         .groupBy("host", "line").agg(F.max(F.col("most") * 2 < F.col("all")).alias("varied"))
     )
-    return sides.where("varied").select("host", "line")
+    found = stored(sides.where("varied").select("host", "line"), "boilerplate")
+    dropped(often)
+    return found
 
 
 def judge(
@@ -194,8 +196,8 @@ def judge(
     measured = measure(rows, text, min_words, most_repeated)
     if carry is not None:
         measured = measured.select(*carry, "_host", "_doc", "_row", *MEASURES.names)
-    measured = saved(measured, scratch_path(spark, "measured"))
-    bad = saved(boilerplate(measured, "_host", max_docs, "_doc"), scratch_path(spark, "boilerplate"))
+    measured = stored(measured, "measured")
+    bad = boilerplate(measured, "_host", max_docs, "_doc")
     lines = measured.select(
         "_row",
         F.coalesce(F.concat(F.lit("s"), F.col("_host").cast("string")), F.lit("n")).alias("host"),

@@ -3,7 +3,8 @@
 Every byte covered by a string of ``length`` bytes that also starts in a document with a smaller
 doc_id is marked. Strings are judged on the input; matches never cross documents.
 
-1. **Blocks.** Documents are packed into compressed blocks and written once.
+1. **Blocks.** Documents are packed into compressed blocks and written once. Of equal texts only the
+   one with the smallest doc_id goes on; the others are covered as a whole.
 2. **Anchors.** Every window of ``length`` bytes is keyed by its smallest ``GRAM``-byte hash, so equal
    windows have equal keys. `exchange` tells each block which of its keys occur in another document.
 3. **Pieces.** The windows of one key in a row form a piece (the bytes they cover, at most
@@ -29,14 +30,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from foliomart.llm import exchange
 from foliomart.llm.texts import encoded, mixed, slices
-from foliomart.session import saved, scratch_path
+from foliomart.llm.stages import dropped, stored
 
 LENGTH = 50
 GRAM = 20
@@ -138,7 +138,7 @@ class Block:
         return runs(self.data, self.begins, self.ends, length)
 
 
-def pack(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def pack(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
     """Blocks of documents with all their columns; ``_doc`` and ``_text`` are the ones to work on."""
     names = docs.columns
     rest = docs.select(
@@ -147,19 +147,47 @@ def pack(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 9))
         for batch in batches:
             sizes = pc.binary_length(batch.column(1)).fill_null(0).to_pylist()
             for a, b in slices([s + 16 for s in sizes], BLOCK):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
                     out.write_batch(batch.slice(a, b - a))
+                ids = batch.column(0).slice(a, b - a).fill_null(int(_NONE)).to_pylist()
+                raw = encoded(batch.column(1).slice(a, b - a))
+                texts = [
+                    {"place": i, "doc": d, "digest": hashlib.blake2b(t, digest_size=16).digest()}
+                    for i, (d, t) in enumerate(zip(ids, raw)) if len(t) >= length
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([sum(sizes[a:b])], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
-                    names=["n_bytes", "payload"],
+                    [
+                        pa.array([sum(sizes[a:b])], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()),
+                        pa.array([texts], _TEXTS),
+                    ],
+                    names=["n_bytes", "payload", "texts"],
                 )
 
-    return exchange.numbered(rest.mapInArrow(run, "n_bytes long, payload binary"))
+    return exchange.numbered(
+        rest.mapInArrow(run, "n_bytes long, payload binary, texts array<struct<place: int, doc: long, digest: binary>>")
+    )
+
+
+_TEXTS = pa.list_(pa.struct([("place", pa.int32()), ("doc", pa.int64()), ("digest", pa.binary())]))
+
+
+def copies(blocks: DataFrame) -> DataFrame:
+    """Per block the places of documents whose whole text a smaller doc_id holds.
+
+    Copies are counted by digest with map-side sums, and only digests held twice are joined.
+    """
+    seen = blocks.select("block", F.inline("texts"))
+    held = seen.groupBy("digest").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    held = stored(held.select("digest", "first"), "copied")
+    later = seen.join(held, "digest").where("doc > first")
+    places = stored(later.groupBy("block").agg(F.array_sort(F.collect_list("place")).alias("places")), "copies")
+    dropped(held)
+    return places
 
 
 def _keys_of(length: int):
@@ -179,9 +207,6 @@ def _keys_of(length: int):
 
 # pieces
 
-_COMPRESS = 3
-
-
 def _sent(block: int, n: int, where: np.ndarray, key: np.ndarray, doc: np.ndarray, texts: list[bytes]) -> list[tuple]:
     """A row per bucket: piece numbers, keys, doc_ids, lengths and bytes of its pieces."""
     rows = []
@@ -189,22 +214,23 @@ def _sent(block: int, n: int, where: np.ndarray, key: np.ndarray, doc: np.ndarra
     ends = np.searchsorted(where[order], np.arange(n + 1))
     for b in np.flatnonzero(np.diff(ends)).tolist():
         at = order[ends[b] : ends[b + 1]]
-        size = np.array([len(texts[i]) for i in at.tolist()], np.uint8)
-        body = at.astype(np.uint32).tobytes() + key[at].tobytes() + doc[at].tobytes() + size.tobytes()
-        body += b"".join([texts[i] for i in at.tolist()])
-        rows.append((b, block, len(at), zstandard.ZstdCompressor(_COMPRESS).compress(body)))
+        own = [texts[i] for i in at.tolist()]
+        size = np.fromiter(map(len, own), np.uint8, len(own))
+        steps = np.diff(at, prepend=0).astype(np.uint32)
+        body = exchange.packed(steps, key[at].astype(np.uint32), doc[at], size, *own)
+        rows.append((b, block, len(at), body))
     return rows
 
 
 def _received(n: int, body: bytes):
-    raw = zstandard.ZstdDecompressor().decompress(body)
-    number = np.frombuffer(raw, np.uint32, n)
-    key = np.frombuffer(raw, np.uint64, n, 4 * n)
-    doc = np.frombuffer(raw, np.int64, n, 12 * n)
-    size = np.frombuffer(raw, np.uint8, n, 20 * n).astype(np.int64)
-    ends = 21 * n + np.cumsum(size)
+    """Piece steps as sent, keys (by their low halves: a bucket is a range of the high ones), doc_ids, texts."""
+    raw = exchange.unpacked(body)
+    key = np.frombuffer(raw, np.uint32, n, 4 * n)
+    doc = np.frombuffer(raw, np.int64, n, 8 * n)
+    size = np.frombuffer(raw, np.uint8, n, 16 * n).astype(np.int64)
+    ends = 17 * n + np.cumsum(size)
     texts = [raw[e - s : e] for s, e in zip(size.tolist(), ends.tolist())]
-    return number, key, doc, texts
+    return raw[: 4 * n], key, doc, texts
 
 
 def _pieces(blocks: DataFrame, answers: DataFrame, n_keys: int, n: int, length: int) -> DataFrame:
@@ -216,12 +242,14 @@ def _pieces(blocks: DataFrame, answers: DataFrame, n_keys: int, n: int, length:
             block = Block(payload.as_buffer())
             start, until, doc, key = block.runs(length)
             found, back = np.unique(key, return_inverse=True)
-            held = exchange.answered(right, found, n_keys)[back]
-            shared = np.flatnonzero(held > 1)
+            copied = [p for places in right["places"].to_pylist() for p in places or ()]
+            counts = right.filter(pc.is_valid(right["counts"]))
+            held = exchange.answered(counts, found, n_keys)[back]
+            shared = np.flatnonzero((held > 1) & ~np.isin(doc, copied))
             hot = held[shared] >= HOT
             place: dict[tuple[int, bytes], int] = {}
             own: list[int] = []
-            at, piece, whose = [], [], []
+            at, piece = [], []
             ids = block.ids
             for i, is_hot in zip(shared.tolist(), hot.tolist()):
                 a, b, d, k = int(start[i]), int(until[i]), int(doc[i]), int(key[i])
@@ -236,14 +264,14 @@ def _pieces(blocks: DataFrame, answers: DataFrame, n_keys: int, n: int, length:
                         own[p] = int(ids[d])
                     at.append(x)
                     piece.append(p)
-                    whose.append(d)
             keys = np.fromiter((k for k, _ in place), np.uint64, len(place))
             where = (((keys >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)).astype(np.int64)
             texts = [t for _, t in place]
             out += _sent(number, n, where, keys, np.array(own, np.int64), texts)
-            plan = np.array(at, np.uint32).tobytes() + np.array(piece, np.uint32).tobytes() + np.array(whose, np.uint32).tobytes()
-            plan += np.array(own, np.int64).tobytes() + np.array([len(t) - length + 1 for t in texts], np.uint8).tobytes()
-            out.append((-1, number, len(at), zstandard.ZstdCompressor(_COMPRESS).compress(plan)))
+            width = np.array([len(t) - length + 1 for t in texts], np.uint8)
+            steps = [np.diff(np.array(x, np.int64), prepend=0).astype(np.int32) for x in (at, piece)]
+            plan = exchange.packed(np.array([len(at), len(texts)], np.int64), *steps, width, np.array(copied, np.int32))
+            out.append((-1, number, len(at), plan))
         return pa.Table.from_arrays(
             [pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 4, (pa.int32(), pa.int64(), pa.int64(), pa.binary()))],
             names=["bucket", "block", "n", "body"],
@@ -396,13 +424,13 @@ def owners(texts: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray
     return np.split(out, np.cumsum(windows)[:-1])
 
 
-def _settled(table: pa.Table, length: int) -> list[tuple[int, bytes, bytes]]:
-    """For one bucket: per block its piece numbers and a bit per window that another document owns."""
+def _settled(table: pa.Table, length: int) -> list[tuple[int, int, bytes]]:
+    """For one bucket: per block its piece steps and a bit per window that another document owns."""
     place: dict[tuple[int, bytes], int] = {}
     least: list[int] = []
     came = []
     for block, n, body in zip(table["block"].to_pylist(), table["n"].to_pylist(), table["body"].to_pylist()):
-        number, key, doc, texts = _received(n, body)
+        steps, key, doc, texts = _received(n, body)
         at = []
         for k, d, t in zip(key.tolist(), doc.tolist(), texts):
             p = place.setdefault((k, t), len(least))
@@ -411,7 +439,7 @@ def _settled(table: pa.Table, length: int) -> list[tuple[int, bytes, bytes]]:
             elif d < least[p]:
                 least[p] = d
             at.append(p)
-        came.append((block, number, doc, np.array(at, np.int64)))
+        came.append((block, steps, doc, np.array(at, np.int64)))
     keys = np.fromiter((k for k, _ in place), np.uint64, len(place))
     texts = [t for _, t in place]
     least_doc = np.array(least, np.int64)
@@ -443,28 +471,21 @@ def _settled(table: pa.Table, length: int) -> list[tuple[int, bytes, bytes]]:
     shift = np.cumsum(width) - width
     flat = np.concatenate(owner)
     out = []
-    for block, number, doc, at in came:
+    for block, steps, doc, at in came:
         size = width[at]
         inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
         taken = flat[np.repeat(shift[at], size) + inside] < np.repeat(doc, size)
         bits = np.add.reduceat(taken.astype(np.uint32) << inside.astype(np.uint32), np.cumsum(size) - size, dtype=np.uint32)
-        out.append((block, number.tobytes(), bits.tobytes()))
+        out.append((block, len(at), exchange.packed(steps, bits)))
     return out
 
 
 def _owned(pieces: DataFrame, length: int) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
-        block, number, bits = zip(*_settled(table, length))
-        return pa.table(
-            {
-                "block": pa.array(block, pa.int64()), "plan": pa.nulls(len(block), pa.binary()),
-                "n": pa.nulls(len(block), pa.int64()), "number": pa.array(number, pa.binary()), "bits": pa.array(bits, pa.binary()),
-            }
-        )
+        block, n, body = zip(*_settled(table, length))
+        return pa.table({"block": pa.array(block, pa.int64()), "n": pa.array(n, pa.int64()), "bits": pa.array(body, pa.binary())})
 
-    return pieces.where("bucket >= 0").groupBy("bucket").applyInArrow(
-        run, "block long, plan binary, n long, number binary, bits binary"
-    )
+    return pieces.where("bucket >= 0").groupBy("bucket").applyInArrow(run, "block long, n long, bits binary")
 
 
 # marks
@@ -472,24 +493,30 @@ def _owned(pieces: DataFrame, length: int) -> DataFrame:
 def _covered(block: Block, table: pa.Table, length: int) -> np.ndarray:
     """Which bytes of the block are covered by a window that an earlier document owns."""
     mark = np.zeros(len(block.data) + 1, np.int32)
-    plans = [(p, n) for p, n in zip(table["plan"].to_pylist(), table["n"].to_pylist()) if p is not None]
-    for plan, n in plans:
-        raw = zstandard.ZstdDecompressor().decompress(plan)
-        at, piece, whose = (np.frombuffer(raw, np.uint32, n, 4 * n * i).astype(np.int64) for i in range(3))
-        count = (len(raw) - 12 * n) // 9
-        own = np.frombuffer(raw, np.int64, count, 12 * n)
-        width = np.frombuffer(raw, np.uint8, count, 12 * n + 8 * count).astype(np.int64)
+    for plan in table["plan"].drop_null().to_pylist():
+        raw = exchange.unpacked(plan)
+        n, count = np.frombuffer(raw, np.int64, 2).tolist()
+        at, piece = (np.cumsum(np.frombuffer(raw, np.int32, n, 16 + 4 * n * i), dtype=np.int64) for i in range(2))
+        width = np.frombuffer(raw, np.uint8, count, 16 + 8 * n).astype(np.int64)
+        whose = block.ids[np.searchsorted(block.begins, at, "right") - 1]
+        own = np.full(count, _NONE)
+        np.minimum.at(own, piece, whose)
         bits = np.zeros(count, np.uint32)
-        for number, got in zip(table["number"], table["bits"]):
-            if number.is_valid:
-                bits[np.frombuffer(number.as_buffer(), np.uint32)] = np.frombuffer(got.as_buffer(), np.uint32)
+        for got, k in zip(table["bits"].to_pylist(), table["n"].to_pylist()):
+            if got is not None:
+                body = exchange.unpacked(got)
+                number = np.cumsum(np.frombuffer(body, np.uint32, k), dtype=np.int64)
+                bits[number] = np.frombuffer(body, np.uint32, k, 4 * k)
         all_of = (np.uint64(1) << width.astype(np.uint64)) - np.uint64(1)
-        later = block.ids[whose] > own[piece]  # another document of this block comes first
+        later = whose > own[piece]  # another document of this block comes first
         word = np.where(later, all_of[piece], bits[piece].astype(np.uint64))
         for j in range(int(width.max()) if count else 0):
             hit = at[(word >> np.uint64(j)) & np.uint64(1) == 1] + j
             np.add.at(mark, hit, 1)
             np.add.at(mark, hit + length, -1)
+        for place in np.frombuffer(raw[16 + 8 * n + count :], np.int32).tolist():
+            mark[block.begins[place]] += 1
+            mark[block.ends[place]] -= 1
     return np.cumsum(mark[:-1]) > 0
 
 
@@ -528,16 +555,17 @@ def remove_repeats(
     names = docs.columns
     packed = docs if texts else docs.select(doc_id, text)
     names = packed.columns
-    blocks = saved(pack(packed, doc_id, text), scratch_path(spark, "blocks"))
+    blocks = stored(pack(packed, doc_id, text, length), "blocks")
     total = blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     n_keys = exchange.buckets_for(spark, total // 16)
     answers = exchange.answer(exchange.ask(blocks, _keys_of(length), n_keys))
+    copied = copies(blocks)
+    known = answers.unionByName(copied, allowMissingColumns=True)
     n = max(n_keys, -(-int(total) // (4 * BUCKET)))
-    pieces = saved(_pieces(blocks, answers, n_keys, n, length), scratch_path(spark, "pieces"))
-    plans = pieces.where("bucket < 0").select(
-        "block", F.col("body").alias("plan"), "n", F.lit(None).cast("binary").alias("number"), F.lit(None).cast("binary").alias("bits")
-    )
-    verdicts = plans.unionByName(_owned(pieces, length))
+    pieces = stored(_pieces(blocks, known, n_keys, n, length), "pieces")
+    dropped(copied)
+    plans = pieces.where("bucket < 0").select("block", F.col("body").alias("plan"))
+    verdicts = plans.unionByName(_owned(pieces, length), allowMissingColumns=True)
     kept = [T.StructField(f.name, T.LongType(), True) if f.name == doc_id else f for f in packed.schema.fields]
     schema = T.StructType([*kept, *RESULT.fields])
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliomart.session import saved, scratch_path
+from foliomart.llm.stages import stored
 
 KEYS = ("source", "lang", "tokenizer")
 STORED = T.StructType(
@@ -132,13 +132,13 @@ def maintained(docs: DataFrame, folder: str) -> Rollup:
         F.coalesce(F.regexp_count("text", F.lit(VERSIONS["words-1"])), F.lit(0)).alias("one"),
         F.coalesce(F.regexp_count("text", F.lit(VERSIONS["words-2"])), F.lit(0)).alias("two"),
     )
-    both = saved(both, scratch_path(docs.sparkSession, "counted"))
+    both = stored(both, "counted")
     rollup.commit("load", counted(both, "words-1", tokens=F.col("one")))
     # equal texts have equal counts: n - 1 of n copies go, found without joining or sorting copies
     held = both.groupBy(*again).agg(
         F.count(F.lit(1)).alias("n"), F.max("one").alias("one"), F.max("two").alias("two")
     )
-    held = saved(held, scratch_path(docs.sparkSession, "copies"))
+    held = stored(held, "copies")
     copies = counted(held.where("n > 1"), "words-1", tokens=F.col("one"), times=1 - F.col("n"))
     rollup.commit("copies", copies)
     rollup.commit("revision", revised(counted(held, "words-1", tokens=F.col("one")), counted(held, "words-2", tokens=F.col("two"))))

@@ -23,7 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomart.session import saved, scratch_path
+from foliomart.llm.stages import stored
+from foliomart.session import scratch_path
 
 ARCHIVE_BYTES = 64 << 20
 READ_BYTES = 1 << 16
@@ -110,7 +111,7 @@ def planned(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
         rows.where(F.octet_length("html") >= min_bytes).groupBy("digest")
         .agg(F.min("page_id").alias("stands"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     )
-    held = saved(held, scratch_path(pages.sparkSession, "equal-payloads"))
+    held = stored(held, "equal-payloads")
     return rows.join(held, "digest", "left")
 
 
@@ -200,5 +201,5 @@ def _page(uri: str | None) -> int | None:
 def round_trip(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """Write all pages to a new folder of the shared space and read the archives back."""
     spark = pages.sparkSession
-    made = saved(write(pages, scratch_path(spark, "warc"), min_bytes), scratch_path(spark, "archives"))
+    made = stored(write(pages, scratch_path(spark, "warc"), min_bytes), "archives")
     return read(made)
