@@ -1,7 +1,8 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir); what it returns is written as Parquet and read again as the
-next stage's documents. All but the last return the columns of documents.
+next stage's documents. All but the last return the columns of documents. What a stage stored on the
+way is deleted when the next one begins.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from foliomart.llm import mixture, neardup, packing, quality, repeats
 from foliomart.llm.entries import vocabulary_path
+from foliomart.llm.stages import scope
 from foliomart.session import saved, scratch_path
 
 
@@ -23,27 +25,32 @@ def _like(result: DataFrame, docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose the lines that recur across their source."""
-    return _like(quality.cleaned(quality.judge(docs)), docs)
+    with scope(spark):
+        return _like(quality.cleaned(quality.judge(docs)), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays (five-word shingles, similarity 0.8)."""
-    return neardup.near_duplicates(docs).where("kept").select(docs.columns)
+    with scope(spark):
+        return neardup.near_duplicates(docs).where("kept").select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 bytes or more that an earlier document holds are cut out."""
-    return _like(repeats.without_repeats(docs), docs)
+    with scope(spark):
+        return _like(repeats.without_repeats(docs), docs)
 
 
 def source_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixture.mixed_documents(docs)
+    with scope(spark):
+        return mixture.mixed_documents(docs)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in sequences of 2048 tokens."""
-    found = packing.pack(docs, vocabulary_path())
+    with scope(spark):
+        found = packing.pack(docs, vocabulary_path())
     return found.select("doc_id", "source", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
