@@ -235,9 +235,18 @@ def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80
 ) -> DataFrame:
     """``docs`` with ``n_shingles``, ``component_id`` and ``kept`` (the smallest doc_id of its component)."""
-    spark = docs.sparkSession
     docs = docs.select([c for c in docs.columns if c not in ("n_shingles", "component_id", "kept")])
-    rows = stored(_sets(docs, doc_id, text, words), "signatures")
+    return _attached(docs, named(docs, doc_id, text, words, percent), doc_id)
+
+
+def named(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80,
+    among: DataFrame | None = None,
+) -> DataFrame:
+    """(doc, n_shingles, component_id) per doc_id; with ``among`` (column ``doc``) for these documents only."""
+    spark = docs.sparkSession
+    rows = _sets(docs, doc_id, text, words)
+    rows = stored(rows if among is None else rows.join(among, "doc", "left_semi"), "signatures")
     part = rows.where("class IS NOT NULL AND doc IS NOT NULL")
     classes = stored(
         part.groupBy("class").agg(F.min(F.struct("doc", "sig")).alias("x"), F.count(F.lit(1)).alias("n"))
@@ -256,14 +265,13 @@ def near_duplicates(
     dropped(members, sets)
     labels = components(links)
     dropped(links)
-    named = (
+    of_class = (
         classes.select("class", "node").join(labels, "node", "left")
         .select("class", F.coalesce("component", "node").alias("component"))
     )
-    found = rows.join(named, "class", "left").groupBy("doc").agg(
+    return rows.join(of_class, "class", "left").groupBy("doc").agg(
         F.max("n_shingles").alias("n_shingles"), F.min(F.coalesce("component", "doc")).alias("component_id")
     )
-    return _attached(docs, found, doc_id)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, n: int) -> DataFrame:

@@ -2,10 +2,12 @@
 
 A line is normalised (white space collapsed, A-Z lower-cased, digits as 0) and hashed. For each host
 (any column; null is a host of its own) the distinct documents that hold a line are counted. A line
-above the limit is boilerplate and is removed, unless it stands between the same neighbours on both
-sides in at least half of its documents: such a line belongs to a copied text, which is the business
-of the duplicate stages, and removing it would reject every copy. A document is rejected if a rule
-on its own text fails or if too few words are left (depleted).
+above the limit is removed, unless it belongs to copies of a few texts: these are the business of the
+duplicate stages, and removing their lines would reject every copy. It does if in at least half of its
+documents it stands between the same lines (blank ones aside), and if its documents are not more texts
+than the limit, those that the duplicate stage would join (whole texts, five-word shingles, similarity
+0.8) being one text. A document is rejected if a rule on its own text fails or if too few words are left
+(depleted).
 
 Null text counts as empty; an empty document has no words and fails the word minimum. Repeated rows
 of one doc_id count as one document. Rows keep their columns; the names added here are replaced if
@@ -23,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from foliomart.llm import neardup
 from foliomart.llm.texts import encoded, mixed, slices, window_hashes, word_hashes
 from foliomart.llm.stages import dropped, stored
 
@@ -135,48 +138,68 @@ _ARROW = {
 }
 
 
-def boilerplate(measured: DataFrame, host: str, max_docs: int, doc_id: str = "doc_id") -> DataFrame:
-    """(host, line) of the lines above the limit that do not always stand in the same surroundings.
+def boilerplate(
+    measured: DataFrame, texts: DataFrame, host: str, max_docs: int, doc_id: str = "doc_id"
+) -> DataFrame:
+    """(host, line) of the lines above the limit that do not belong to copies of a few texts.
 
-    Counting is a map-side sum; the surroundings are looked at for frequent lines only. A copy in
-    which a neighbour was changed keeps the line's other copies together, hence half of them is
-    enough to tell a copied text.
+    ``texts``: the whole texts as (doc, text), ``doc`` being the 64-bit hash of the id. Documents are
+    counted by map-side sums; only documents with a frequent line in fixed surroundings are told apart
+    as texts. A copy in which a neighbour was changed keeps the line's other copies together, hence half
+    of them is enough for the surroundings.
     """
     lines = measured.select(
-        F.col(host).alias("host"), F.col(doc_id).alias("doc"),
-        F.explode(
-            F.transform(
-                "line_hash",
+        F.coalesce(F.concat(F.lit("s"), F.col(host).cast("string")), F.lit("n")).alias("host"),
+        F.xxhash64(doc_id).alias("doc"), F.filter("line_hash", lambda h: h != 0).alias("full"),
+    ).select(
+        "host", "doc",
+        F.inline(
+            F.array_distinct(F.transform(
+                "full",
                 lambda h, i: F.struct(
                     h.alias("line"),
-                    F.when(i > 0, F.get("line_hash", i - 1)).otherwise(F.lit(-1)).alias("before"),
-                    F.coalesce(F.get("line_hash", i + 1), F.lit(-1)).alias("after"),
+                    F.when(i > 0, F.get("full", i - 1)).otherwise(F.lit(-1)).alias("before"),
+                    F.coalesce(F.get("full", i + 1), F.lit(-1)).alias("after"),
                 ),
-            )
-        ).alias("at"),
-    ).select("host", "doc", "at.*").where("line <> 0")
-    key = [F.coalesce(F.concat(F.lit("s"), F.col("host").cast("string")), F.lit("n")).alias("host"), "line"]
-    held = lines.select(*key, "doc", "before", "after")
-    often = (
-        held.groupBy("host", "line", "doc").agg(F.lit(1).alias("one"))
-        .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_docs")).where(F.col("n_docs") > max_docs)
+            ))
+        ),
     )
-    often = stored(often, "often")
-    around = held.join(often, ["host", "line"])
+    often = stored(_held_by_more(lines, "doc", max_docs), "often")
+    held = stored(lines.join(often, ["host", "line"]).select("host", "line", "doc", "before", "after"), "held")
+    dropped(often)
     sides = (
-        around.select("host", "line", F.explode(F.array(
+        held.select("host", "line", "doc", F.explode(F.array(
             F.struct(F.lit("b").alias("side"), F.col("before").alias("next")),
             F.struct(F.lit("a").alias("side"), F.col("after").alias("next")),
         )).alias("x"))
-        .groupBy("host", "line", "x.side", "x.next").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("host", "line", "x.side", "x.next", "doc").agg(F.lit(1).alias("one"))
+        .groupBy("host", "line", "side", "next").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("host", "line", "side").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
         .groupBy("host", "line").agg(F.max(F.col("most") * 2 < F.col("all")).alias("varied"))
     )
-    found = stored(sides.where("varied").select("host", "line"), "boilerplate")
-    dropped(often)
+    sides = stored(sides, "sides")
+    varied = sides.where("varied").select("host", "line")
+    fixed = sides.where("NOT varied").select("host", "line")
+    if fixed.isEmpty():
+        dropped(held)
+        return varied
+    whose = stored(held.join(fixed, ["host", "line"]).select("host", "line", "doc").distinct(), "whose")
+    dropped(held)
+    named = neardup.named(texts, "doc", "text", among=whose.select("doc").distinct())
+    apart = _held_by_more(whose.join(named.select("doc", "component_id"), "doc"), "component_id", max_docs)
+    found = stored(varied.unionByName(apart), "boilerplate")
+    dropped(whose, sides)
     return found
 
 
+def _held_by_more(lines: DataFrame, by: str, limit: int) -> DataFrame:
+    """(host, line) with more than ``limit`` distinct values of ``by``."""
+    return (
+        lines.groupBy("host", "line", by).agg(F.lit(1).alias("one"))
+        .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("host", "line")
+    )
+
+
 def judge(
     docs: DataFrame, text: str = "text", host: str = "source", doc_id: str = "doc_id", min_words: int = 50,
     most_repeated: int = 50, max_docs: int = 10, least_words: int = 25, least_share: float = 0.3,
@@ -184,7 +207,7 @@ def judge(
 ) -> DataFrame:
     """``docs`` (or its columns ``carry``) with measures, ``removed_lines`` (places of removed lines), ``left_words`` and ``kept``.
 
-    ``max_docs``: documents of a host that may share a line. Depleted: fewer than ``least_words``
+    ``max_docs``: different texts of a host that may share a line. Depleted: fewer than ``least_words``
     words or less than ``least_share`` of the words are left.
     """
     spark = docs.sparkSession
@@ -197,7 +220,8 @@ def judge(
     if carry is not None:
         measured = measured.select(*carry, "_host", "_doc", "_row", *MEASURES.names)
     measured = stored(measured, "measured")
-    bad = boilerplate(measured, "_host", max_docs, "_doc")
+    texts = docs.select(F.xxhash64(doc_id).alias("doc"), F.col(text).alias("text"))
+    bad = boilerplate(measured, texts, "_host", max_docs, "_doc")
     lines = measured.select(
         "_row",
         F.coalesce(F.concat(F.lit("s"), F.col("_host").cast("string")), F.lit("n")).alias("host"),

@@ -1,7 +1,10 @@
+import random
+
 from pyspark.sql import functions as F
 
 from foliomart.llm import quality
 from tests.llm import brute
+from tests.llm.conftest import prose
 
 BASE = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
@@ -67,3 +70,16 @@ def test_empty_table_and_clashing_columns(spark, nothing):
     df = frame(spark, [page(1), None]).select("*", *[F.lit("?").alias(c) for c in ("kept", "line", "host", "n_words", "_row")])
     found = quality.judge(df)
     assert found.where("host = '?' AND line = '?'").count() == 2 and found.where("kept").count() == 1
+
+
+def test_lines_go_wherever_they_stand(spark):
+    """Blank lines between paragraphs, a fixed block below 1,000 texts, and one document full of the line."""
+    foot = "\n".join(f"the {k} line of a footer that never varies" for k in "abcde")
+    texts = [page(i * 7, n=40) + "\n\nFollow us and win\n\n" + page(i * 7 + 3, n=40) for i in range(12)]
+    texts += ["\n".join(["Follow us and win"] * 500) + "\n" + page(91)]
+    judged = {r["doc_id"]: r for r in quality.judge(frame(spark, texts)).collect()}
+    assert all(judged[i]["removed_lines"] == [2] for i in range(12)) and len(judged[12]["removed_lines"]) == 500
+    rnd = random.Random(6)
+    own = [prose(rnd, 60) for _ in range(1000)]
+    judged = quality.judge(frame(spark, [f"{t}\n{foot}" for t in own]))
+    assert judged.where("kept AND removed_lines = array(1, 2, 3, 4, 5) AND left_words = 60").count() == 1000
