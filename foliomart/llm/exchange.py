@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ENTRIES = 1_500_000
+#: Set in a weight: the block alone has two documents that share the key.
+SHARED = np.uint16(1 << 15)
 LEVEL = 6
 _ASK = "bucket int, block long, keys binary, weights binary"
 _ANSWER = "block long, bucket int, counts binary"
@@ -71,8 +73,12 @@ def ask(blocks: DataFrame, keys_of: Callable, n: int) -> DataFrame:
     return blocks.select("block", "payload").mapInArrow(run, _ASK)
 
 
-def answer(asked: DataFrame) -> DataFrame:
-    """The summed weight of each key (up to 2**32 - 1), in the order asked."""
+def answer(asked: DataFrame, flagged: bool = False) -> DataFrame:
+    """The summed weight of each key (up to 2**32 - 1), in the order asked.
+
+    ``flagged``: weights are up to 32767 and may carry ``SHARED``. A key that neither does nor stands in
+    two blocks is answered with 0.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         keys = [np.frombuffer(x.as_buffer(), np.uint32) for x in table["keys"]]
@@ -81,7 +87,12 @@ def answer(asked: DataFrame) -> DataFrame:
         order = np.argsort(flat, kind="stable")
         ordered = flat[order]
         first = np.concatenate(([True], ordered[1:] != ordered[:-1]))
-        sums = np.add.reduceat(weights[order].astype(np.uint64), np.flatnonzero(first))
+        weights = weights[order]
+        own = weights & ~SHARED if flagged else weights
+        sums = np.add.reduceat(own.astype(np.uint64), np.flatnonzero(first))
+        if flagged:
+            holders = np.add.reduceat(1 + (weights >= SHARED).astype(np.int64), np.flatnonzero(first))
+            sums[holders < 2] = 0
         counts = np.empty(len(flat), np.uint32)
         counts[order] = np.minimum(sums, 2**32 - 1)[np.cumsum(first) - 1].astype(np.uint32)
         ends = np.cumsum([len(k) for k in keys])[:-1]

@@ -193,14 +193,23 @@ def copies(blocks: DataFrame) -> DataFrame:
 def _keys_of(length: int):
     def keys(payload):
         block = Block(payload)
-        _, _, doc, key = block.runs(length)
+        start, until, doc, key = block.runs(length)
         found, back, counts = np.unique(key, return_inverse=True, return_counts=True)
         ids = block.ids[doc]
         low, high = np.full(len(found), _NONE), np.full(len(found), -_NONE)
         np.minimum.at(low, back, ids)
         np.maximum.at(high, back, ids)
-        # two documents of this block are enough to share a key
-        return found, np.where(low < high, np.maximum(counts, 2), 1)
+        # the weight is the number of different pieces; two documents of this block are enough to share a key
+        many = np.flatnonzero(counts[back] > 1)
+        if len(many):
+            a, b = start[many], until[many]
+            piece = _gram_keys(block.data, a, length) ^ mixed(_gram_keys(block.data, b - 1, length) + (b - a).astype(np.uint64))
+            distinct = np.unique(mixed(piece) ^ key[many], return_index=True)[1]
+            held = np.bincount(back[many][distinct], minlength=len(found))
+            counts = np.where(counts > 1, held, counts)
+        weights = np.minimum(counts, exchange.SHARED - 1).astype(np.uint16)
+        weights[low < high] |= exchange.SHARED
+        return found, weights
 
     return keys
 
@@ -245,7 +254,7 @@ def _pieces(blocks: DataFrame, answers: DataFrame, n_keys: int, n: int, length:
             copied = [p for places in right["places"].to_pylist() for p in places or ()]
             counts = right.filter(pc.is_valid(right["counts"]))
             held = exchange.answered(counts, found, n_keys)[back]
-            shared = np.flatnonzero((held > 1) & ~np.isin(doc, copied))
+            shared = np.flatnonzero((held > 0) & ~np.isin(doc, copied))
             hot = held[shared] >= HOT
             place: dict[tuple[int, bytes], int] = {}
             own: list[int] = []
@@ -558,7 +567,7 @@ def remove_repeats(
     blocks = stored(pack(packed, doc_id, text, length), "blocks")
     total = blocks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     n_keys = exchange.buckets_for(spark, total // 16)
-    answers = exchange.answer(exchange.ask(blocks, _keys_of(length), n_keys))
+    answers = exchange.answer(exchange.ask(blocks, _keys_of(length), n_keys), flagged=True)
     copied = copies(blocks)
     known = answers.unionByName(copied, allowMissingColumns=True)
     n = max(n_keys, -(-int(total) // (4 * BUCKET)))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,3 +131,36 @@ def test_keys_are_counted_over_blocks(spark):
     for b, k in keys.items():
         own = answers.filter([x == b for x in answers["block"].to_pylist()])
         assert exchange.answered(own, np.array(k, np.uint64), 5).tolist() == [sum(x in v for v in keys.values()) for x in k]
+
+
+def logs():
+    """Two long texts of one row template, each piece of it different, and a passage that both hold."""
+    rnd = random.Random(12)
+    passage = "".join(rnd.choice("abcdefgh ") for _ in range(400))
+    rows = [[f"host=frontend service=catalogue status=ok time={rnd.randrange(10**9):09d}{rnd.randrange(10**9):09d} id={rnd.randrange(10**9):09d}"
+             for _ in range(15000)] for _ in range(2)]
+    rows[1][7000:7003] = rows[0][300:303]
+    return ["\n".join([*r[:9000], passage, *r[9000:]]) for r in rows]
+
+
+def test_a_key_weighs_what_it_holds(spark):
+    """In blocks of one document each, a key is counted by its different pieces."""
+    df = spark.createDataFrame(list(enumerate(logs())), "doc_id long, text string")
+    blocks = repeats.pack(df, "doc_id", "text", 50).cache()
+    assert blocks.count() == 2
+    answers = exchange.answer(exchange.ask(blocks, repeats._keys_of(50), 3), flagged=True).toArrow()
+    for block, payload in [(r["block"], bytes(r["payload"])) for r in blocks.collect()]:
+        b = repeats.Block(pa.py_buffer(payload))
+        start, until, doc, key = b.runs(50)
+        found, counts = np.unique(key, return_counts=True)
+        told = exchange.answered(answers.filter([x == block for x in answers["block"].to_pylist()]), found, 3)
+        top = int(counts.argmax())
+        pieces = {b.raw[x : y + 49] for x, y in zip(start[key == found[top]].tolist(), until[key == found[top]].tolist())}
+        assert len(pieces) > 10000 and told[top] >= len(pieces) and (told[counts == 1] == 0).any()
+
+
+def test_long_texts_of_one_template(spark, got):
+    """More pieces under a key than an index holds: its windows are told apart one by one."""
+    texts = logs()
+    found = repeats.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), texts=False)
+    assert got(found, *COLUMNS) == sorted(brute.op2(list(enumerate(texts))), key=repr)
