@@ -78,3 +78,15 @@ def test_components_of_a_path_and_a_star(spark, n):
     made = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
     assert {made[i] for i in range(100, 101 + n)} == {100}
     assert {made[7], made[1000], made[999 + n]} == {7} and made[3] == 3
+
+
+def test_components_of_long_paths_in_any_order(spark):
+    """A path through 2,000 shuffled ids, one through falling ids, and both ends of the order joined late."""
+    ids = list(range(2000))
+    random.Random(3).shuffle(ids)
+    links = list(zip(ids, ids[1:])) + [(9000 - i, 8999 - i) for i in range(400)] + [(5000, 9500)]
+    zigzag = [6000, *[x for i in range(150) for x in (6999 - i, 6001 + i)]]
+    links += list(zip(zigzag, zigzag[1:]))
+    made = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long")).collect()))
+    assert {made[i] for i in ids} == {0} and {made[i] for i in range(8600, 9001)} == {8600}
+    assert {made[i] for i in zigzag} == {6000} and made[9500] == 5000 and len(made) == 2000 + 401 + 2 + 301
