@@ -250,3 +250,32 @@ def test_failure_is_logged_and_raised(spark, tmp_path):
         load.run(lambda: load.step("read", fail))
     assert w.batches().first()["status"] == "FAILED"
     assert w.steps().first()["error_message"] == "no such file"
+
+
+def test_a_rerun_finishes_a_stopped_load(spark, tmp_path, monkeypatch):
+    """Stopped before the facts, then before the rollups: the next call finds no file and does the rest."""
+    root, state = str(tmp_path / "w"), str(tmp_path / "state")
+    for name in ("sales", "meta"):
+        (tmp_path / "in" / name).mkdir(parents=True)
+    (tmp_path / "in/meta/m.csv").write_text("\n".join([META_HEADER, *META]) + "\n", encoding="utf-8")
+    (tmp_path / "in/sales/a.csv").write_text(f"{SALES_HEADER}\n{line('A1', 'E1')}\n")
+    folders = {"raw_meta": str(tmp_path / "in/meta"), "raw_sales": str(tmp_path / "in/sales")}
+    w = pipeline.run(spark, root, folders, DAY)
+
+    def stopped(*_, **__):
+        raise RuntimeError("stopped")
+
+    def rolled_up():
+        return w.current("rollup/channel_performance").agg(F.sum("transaction_count")).first()[0]
+
+    for step, number in (("load_facts", "A2"), ("refresh_rollups", "A3")):
+        (tmp_path / f"in/sales/{number}.csv").write_text(f"{SALES_HEADER}\n{line(number, 'E1')}\n")
+        with monkeypatch.context() as patch, pytest.raises(RuntimeError, match="stopped"):
+            patch.setattr(pipeline, step, stopped)
+            pipeline.run_incremental(spark, root, folders, state, DAY)
+        pipeline.run_incremental(spark, root, folders, state, DAY)
+        n = int(number[1])
+        assert w.read("fact_sales", FACT_SALES).count() == n and rolled_up() == n
+    before = w.steps().count()
+    pipeline.run_incremental(spark, root, folders, state, DAY)
+    assert {r["step_name"] for r in w.steps().orderBy(F.desc("batch_id")).limit(w.steps().count() - before).collect()} == {"dimensions"}
