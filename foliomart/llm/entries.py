@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomart.llm import ann, chat, mixture, neardup, packing, quality, repeats, tokencounts, urlrules, warc
+from foliomart.llm import ann, chat, exactdup, mixture, neardup, packing, quality, repeats, tokencounts, urlrules, warc
 from foliomart.llm.oracles import ORACLES
 from foliomart.session import scratch_path
 
@@ -90,6 +90,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exactdup.mark(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixture": op1_mixture,
     "op2_repeats": op2_repeats,
@@ -101,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
+    "op11_exact_duplicates": op11_exact_duplicates,
 }

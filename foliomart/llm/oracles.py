@@ -197,6 +197,18 @@ SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, c.other
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS h,
+    row_number() OVER () AS r
+  FROM documents
+), k AS (
+  SELECT *, count(*) OVER (PARTITION BY h) AS size, first_value(doc_id) OVER o AS keep_id, first_value(r) OVER o AS keep_r FROM d
+  WINDOW o AS (PARTITION BY h ORDER BY n DESC, doc_id NULLS LAST, r)
+)
+SELECT doc_id, keep_id, size::BIGINT AS group_size, r = keep_r AS kept, h AS text_sha256 FROM k
+"""
+
 ORACLES = {
     "op1_mixture": OP1,
     "op2_repeats": OP2,
@@ -206,4 +218,5 @@ ORACLES = {
     "op7_warc": OP7,
     "op8_token_counts": OP8,
     "op9_near_duplicates": OP9,
+    "op11_exact_duplicates": OP11,
 }

@@ -182,3 +182,15 @@ def cut_repeats(rows, length=50):
             at += n
         out[doc] = text if not any(gone) else "".join(kept)
     return out
+
+
+def op11(rows):
+    """rows: (doc_id, text) -> (doc_id, keep_id, group_size, kept, sha256)."""
+    groups = defaultdict(list)
+    for i, (doc, text) in enumerate(rows):
+        groups[re.sub(r"[\x20\x09-\x0D]", "", text or "")].append((-len(text or ""), doc is None, doc or 0, i))
+    out = []
+    for body, members in groups.items():
+        digest, best = hashlib.sha256(body.encode()).hexdigest(), min(members)
+        out += [(rows[i][0], rows[best[3]][0], len(members), i == best[3], digest) for *_, i in members]
+    return out
