@@ -209,6 +209,32 @@ WITH d AS (
 SELECT doc_id, keep_id, size::BIGINT AS group_size, r = keep_r AS kept, h AS text_sha256 FROM k
 """
 
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(text: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{_TERM}')"
+
+
+OP13 = rf"""
+WITH i AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({_terms("text")}) AS t FROM benchmark)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_terms("text")} AS ts FROM documents),
+s AS (SELECT count(*) AS big_n, sum(len(ts))::BIGINT AS big_l FROM d WHERE len(ts) > 0),
+p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(ts) AS t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY r, t),
+w AS (
+  SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT t, count(*) AS df FROM p GROUP BY t), s
+), m AS (SELECT r, doc_id, 10 + (90 * len(ts) * big_n) // big_l AS m FROM d, s),
+found AS (
+  SELECT item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM i JOIN p USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY item_id, r
+), ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM found JOIN m USING (r) WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES = {
     "op1_mixture": OP1,
     "op2_repeats": OP2,
@@ -219,4 +245,5 @@ ORACLES = {
     "op8_token_counts": OP8,
     "op9_near_duplicates": OP9,
     "op11_exact_duplicates": OP11,
+    "op13_lexical_search": OP13,
 }

@@ -1,6 +1,7 @@
 """The results of the operators by the plainest means, on small tables."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -194,3 +195,35 @@ def op11(rows):
         digest, best = hashlib.sha256(body.encode()).hexdigest(), min(members)
         out += [(rows[i][0], rows[best[3]][0], len(members), i == best[3], digest) for *_, i in members]
     return out
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def lexical_terms(text):
+    return [re.sub("[A-Z]+", lambda m: m[0].lower(), t) for t in TERM.findall(text or "")]
+
+
+def op13(rows, items, k=10):
+    """rows: (doc_id, text), items: (item_id, text) -> (item_id, rank, doc_id, score)."""
+    counts = [Counter(lexical_terms(t)) for _, t in rows]
+    sizes = [sum(c.values()) for c in counts]
+    n, length = sum(s > 0 for s in sizes), sum(sizes)
+    df = Counter(t for c in counts for t in c)
+    asked = defaultdict(set)
+    for who, text in items:
+        asked[who].update(lexical_terms(text))
+    out = []
+    for who, terms in asked.items():
+        scored = []
+        for (doc, _), c, size in zip(rows, counts, sizes):
+            score = 0
+            for t in terms:
+                if t in c:
+                    w = math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1)))
+                    score += w * ((10**9 * c[t]) // (1000 * c[t] + 8 * (10 + 90 * size * n // length)))
+            if score > 0:
+                scored.append((-score, doc is None, doc))
+        scored.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(who, i + 1, doc, -s) for i, (s, _, doc) in enumerate(scored[:k])]
+    return sorted(out, key=repr)

@@ -26,7 +26,7 @@ def test_query(spark, name):
     assert got
     if name in ORACLES:
         duck = duckdb.connect()
-        for table in ("documents", "embeddings", "pages", "conversations"):
+        for table in ("documents", "embeddings", "pages", "conversations", "benchmark"):
             duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
         result = duck.execute(ORACLES[name])
         columns = [d[0] for d in result.description]
