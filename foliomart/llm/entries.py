@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliomart.llm import ann, chat, exactdup, lexical, mixture, neardup, packing, quality, repeats, tokencounts, urlrules, warc
+from foliomart.llm import ann, chat, exactdup, lexical, mixture, neardup, packing, quality, repair, repeats, tokencounts, urlrules, warc
 from foliomart.llm.oracles import ORACLES
 from foliomart.session import scratch_path
 
@@ -95,6 +95,11 @@ def op11_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.report(repair.damaged(rows), rows)
+
+
 def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -111,5 +116,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_duplicates": op9_near_duplicates,
     "op10_packing": op10_packing,
     "op11_exact_duplicates": op11_exact_duplicates,
+    "op12_repair": op12_repair,
     "op13_lexical_search": op13_lexical_search,
 }

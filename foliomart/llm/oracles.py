@@ -209,6 +209,67 @@ WITH d AS (
 SELECT doc_id, keep_id, size::BIGINT AS group_size, r = keep_r AS kept, h AS text_sha256 FROM k
 """
 
+#: crc32 bit by bit, over the bytes of an ASCII text.
+_CRC = """xor(4294967295::BIGINT, list_reduce(
+  list_concat([4294967295::BIGINT], list_transform(string_split({key}, ''), lambda c: ascii(c)::BIGINT)),
+  lambda s, b: list_reduce(list_concat([xor(s, b)], range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384::BIGINT))))"""
+
+OP12 = rf"""
+WITH RECURSIVE x AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_CRC.format(key="coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS kind
+  FROM conversations
+), y AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM x
+), t AS (
+  SELECT *, coalesce('c' || conv_id, 'n') AS c, substr(role, 1, 1) AS ini,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS tail
+  FROM y
+), f AS (
+  SELECT *, CASE WHEN tail = '' THEN 'b' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'd'
+    WHEN tail NOT IN ('.', '!', '?') THEN 't' ELSE 'k' END AS fault,
+    lag(ini) OVER (PARTITION BY c ORDER BY i) || ini AS pair
+  FROM t
+), size AS (SELECT c, max(i) AS n FROM f GROUP BY c),
+-- inserts from state to state: 0 nothing yet, 1 after s, 2 after u, 3 after a
+ins(q, z, letters, added, paid) AS (VALUES
+  (0, 0, '', [], 0), (0, 2, 'I', ['user:'], 5), (0, 3, 'II', ['user:', 'assistant:'], 10),
+  (1, 1, '', [], 0), (1, 2, 'I', ['user:'], 5), (1, 3, 'II', ['user:', 'assistant:'], 10),
+  (2, 2, '', [], 0), (2, 3, 'I', ['assistant:'], 5), (3, 3, '', [], 0), (3, 2, 'I', ['user:'], 5)
+), step(q, ini, z, letter, role, paid) AS (
+  SELECT q, NULL::VARCHAR, q, 'D', NULL::VARCHAR, 2 FROM range(4) r(q)
+  UNION ALL VALUES (0, 's', 1, 'K', NULL, 0), (0, 'u', 2, 'K', NULL, 0), (1, 'u', 2, 'K', NULL, 0), (2, 'a', 3, 'K', NULL, 0), (3, 'u', 2, 'K', NULL, 0),
+    (0, NULL, 2, 'R', 'user', 1), (1, NULL, 2, 'R', 'user', 1), (2, NULL, 3, 'R', 'assistant', 1), (3, NULL, 2, 'R', 'user', 1)
+), walk(c, i, q, cost, audit, lines) AS (
+  SELECT c, 0::BIGINT, 0, 0, '', []::VARCHAR[] FROM size
+  UNION ALL
+  SELECT c, i, q, cost, audit, lines FROM (
+    SELECT w.c, w.i + 1 AS i, s.z::INTEGER AS q, w.cost + n.paid + s.paid + CASE WHEN fault = 't' AND letter <> 'D' THEN 5 ELSE 0 END AS cost,
+      w.audit || n.letters || s.letter AS audit,
+      w.lines || n.added::VARCHAR[] || CASE WHEN letter = 'D' THEN []::VARCHAR[] ELSE [coalesce(s.role, f.role) || ':' || f.text] END AS lines
+    FROM walk w JOIN f ON f.c = w.c AND f.i = w.i + 1 JOIN ins n ON n.q = w.q
+    JOIN step s ON s.q = n.z AND (s.ini IS NULL OR s.ini = f.ini) AND (s.letter = 'D' OR fault NOT IN ('b', 'd'))
+  ) QUALIFY row_number() OVER (PARTITION BY c, q ORDER BY cost, audit) = 1
+), done AS (
+  SELECT w.c, w.cost + n.paid AS cost, w.audit || n.letters AS audit, array_to_string(w.lines || n.added::VARCHAR[], chr(10)) AS body
+  FROM walk w JOIN size USING (c) JOIN ins n ON n.q = w.q AND n.z IN (0, 3) WHERE w.i = size.n
+  QUALIFY row_number() OVER (PARTITION BY w.c ORDER BY w.cost + n.paid, w.audit || n.letters) = 1
+), counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+    count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY c
+)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(body, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce('c' || conv_id, 'n') AS c FROM conversations) LEFT JOIN counts USING (c) LEFT JOIN done USING (c)
+"""
+
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -245,5 +306,6 @@ ORACLES = {
     "op8_token_counts": OP8,
     "op9_near_duplicates": OP9,
     "op11_exact_duplicates": OP11,
+    "op12_repair": OP12,
     "op13_lexical_search": OP13,
 }

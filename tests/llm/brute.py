@@ -227,3 +227,55 @@ def op13(rows, items, k=10):
         scored.sort(key=lambda x: (x[0], x[1], x[2] or 0))
         out += [(who, i + 1, doc, -s) for i, (s, _, doc) in enumerate(scored[:k])]
     return sorted(out, key=repr)
+
+
+def op12(rows, ids):
+    """rows: (conv_id, turn, role, text) after damage -> the contract's row per id, by trying edits turn by turn."""
+    after = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    after_new = {"": ("user", "u"), "s": ("user", "u"), "u": ("assistant", "a"), "a": ("user", "u")}
+    by = defaultdict(list)
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        by[conv].append((turn is not None, turn or 0, role, hashlib.sha256(text.encode()).digest(), turn, text))
+    out = []
+    for conv in ids:
+        mine = sorted(by.get(conv, []))
+        seen, faults = set(), []
+        for _, _, role, _, _, text in mine:
+            said = text.strip(" \t\n\x0b\x0c\r")
+            faults.append("b" if not said else "d" if (role, text) in seen else "t" if said[-1] not in ".!?" else "")
+            seen.add((role, text))
+        initials = [m[2][:1] for m in mine]
+        turns = {m[4] for m in mine} - {None}
+        gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+        illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+        best = {"": (0, "", [])}
+
+        def inserted(at):
+            at = dict(at)
+            for _ in range(3):
+                for state, (cost, audit, lines) in list(at.items()):
+                    role, to = after_new[state]
+                    way = (cost + 5, audit + "I", lines + [f"{role}:"])
+                    if to not in at or way[:2] < at[to][:2]:
+                        at[to] = way
+            return at
+
+        for (_, _, role, _, _, text), fault, initial in zip(mine, faults, initials):
+            new = {}
+            for state, (cost, audit, lines) in inserted(best).items():
+                extra = 5 if fault == "t" else 0
+                ways = [(state, (cost + 2, audit + "D", lines))]
+                if fault in ("", "t"):
+                    if (state, initial) in after:
+                        ways.append((after[state, initial], (cost + extra, audit + "K", lines + [f"{role}:{text}"])))
+                    name, to = after_new[state]
+                    ways.append((to, (cost + 1 + extra, audit + "R", lines + [f"{name}:{text}"])))
+                for to, way in ways:
+                    if to not in new or way[:2] < new[to][:2]:
+                        new[to] = way
+            best = new
+        cost, audit, lines = min((w for s, w in inserted(best).items() if s in ("", "a")), key=lambda w: w[:2])
+        counts = [faults.count(f) for f in "bdt"]
+        out.append((conv, gaps, *counts, illegal, cost, audit, hashlib.sha256("\n".join(lines).encode()).hexdigest()))
+    return sorted(out, key=repr)
