@@ -73,6 +73,12 @@ def mark_processed(staged: DataFrame, fact: DataFrame, source: str) -> DataFrame
     )
 
 
+def flagged(staged: DataFrame, flags: DataFrame, key: str) -> DataFrame:
+    """The staged rows that stored flags (id, processed_date) name, flag Y."""
+    taken = flags.select(F.col(key).cast(staged.schema[key].dataType).alias(key), F.col("processed_date").alias("_taken"))
+    return staged.join(taken, key).withColumns({"processed_flag": F.lit("Y"), "processed_date": F.col("_taken")}).select(*staged.columns)
+
+
 def ready(staged: DataFrame) -> DataFrame:
     """Rows a fact load takes: VALID and not processed. Order is the loader's concern."""
     return staged.filter((F.col("validation_status") == "VALID") & (F.col("processed_flag") == "N"))

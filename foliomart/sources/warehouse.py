@@ -71,6 +71,10 @@ class Warehouse:
             return None if schema is None else self.spark.createDataFrame([], schema)
         return self.read(f"{table}/v={version}", schema)
 
+    def append_to_current(self, table: str, df: DataFrame) -> None:
+        """Add rows to the last committed version."""
+        self.append(f"{table}/v={self._committed(table)}", df)
+
     # --- facts
 
     def write_fact(self, table: str, df: DataFrame) -> None:
