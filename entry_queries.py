@@ -18,7 +18,7 @@ from foliomart.operators import facts, keys, quality, scd2
 from foliomart.operators.lookups import attach
 from foliomart.plans import queries as bi
 from foliomart.plans import pipeline, rollups, trends
-from foliomart.schemas import FACT_SALES, SOURCE_COLUMNS
+from foliomart.schemas import FACT_DAILY, FACT_SALES, SOURCE_COLUMNS, STAGING_ID, staging_schema
 from foliomart.session import scratch_path
 from foliomart.sources import extract, staging, trade
 from foliomart.sources.warehouse import Warehouse, rewrite_months, total_count, write_fact
@@ -521,8 +521,13 @@ _loaded: dict[tuple[str, str], Warehouse] = {}
 CUT = dt.date(1998, 7, 1)
 
 
+# the names of product types that part types are delivered under; the other part types are no product type
+DELIVERED_TYPES = {"STANDARD": "Hardcover", "SMALL": "Paperback", "MEDIUM": "e‑Book"}
+
+
 def _written(df: DataFrame, columns: dict[str, str], path: str) -> None:
-    df.select(*[F.col(c).cast("string").alias(h) for h, c in columns.items()]).coalesce(1).write.mode("append").option(
+    """A delivery: one file per partition in the source's folder."""
+    df.select(*[F.col(c).cast("string").alias(h) for h, c in columns.items()]).write.mode("append").option(
         "header", True
     ).option("escape", '"').csv(path)
 
@@ -530,22 +535,28 @@ def _written(df: DataFrame, columns: dict[str, str], path: str) -> None:
 def _warehouse(spark: SparkSession, sf: str) -> Warehouse:
     """A warehouse loaded in two deliveries, written once per application.
 
-    Sales up to a day and parts up to size 25 come first, by a full load. The rest then arrives in
-    the same folders and is loaded incrementally, twice; the second time brings nothing new.
+    Sales and daily rows up to a day and parts up to size 25 come first, by a full load. The rest then
+    arrives in the same folders and is loaded incrementally, twice; the second time brings nothing
+    new. A station stands for a supplier.
     """
     key = (spark.sparkContext.applicationId, sf)
     if key not in _loaded:
         root, folder = scratch_path(spark, "loaded"), scratch_path(spark, "deliveries")
         code = F.concat(F.lit("CH00"), F.substring("chnl", 1, 1))
         sold = trade.staged_sales(spark, sf).withColumn("chnl", code)
-        meta = trade.meta_rows(spark, sf).join(
+        kind = F.col("typ")
+        for part_type, name in DELIVERED_TYPES.items():
+            kind = F.when(F.col("typ") == part_type, name).otherwise(kind)
+        moved = trade.staged_daily(spark, sf, by_supplier=True).withColumn("typ", kind)
+        meta = trade.meta_rows(spark, sf).withColumn("station_id", F.col("vendor_id")).join(
             trade.table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("publication_ed"), "p_size"), "publication_ed"
         )
-        folders = {name: f"{folder}/{name}" for name in ("raw_meta", "raw_sales")}
+        folders = {name: f"{folder}/{name}" for name in ("raw_meta", "raw_sales", "raw_daily")}
 
         def deliver(early: bool) -> None:
             first = F.col("date_parsed") < F.lit(CUT)
-            _written(sold.filter(first if early else ~first), SOURCE_COLUMNS["raw_sales"], folders["raw_sales"])
+            for rows, source in ((sold, "raw_sales"), (moved, "raw_daily")):
+                _written(rows.filter(first if early else ~first), SOURCE_COLUMNS[source], folders[source])
             small = F.col("p_size") <= 25
             _written(meta.filter(small if early else ~small), SOURCE_COLUMNS["raw_meta"], folders["raw_meta"])
 
@@ -558,6 +569,39 @@ def _warehouse(spark: SparkSession, sf: str) -> Warehouse:
     return _loaded[key]
 
 
+def incremental_daily(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily fact by month after both deliveries, and the rejects still open by reason."""
+    warehouse = _warehouse(spark, sf)
+    fact = warehouse.read("fact_daily", FACT_DAILY)
+    loaded = fact.groupBy(F.floor(F.col("time_key") / 100).cast("int").alias("year_month")).agg(
+        F.lit("LOADED").alias("outcome"), F.count(F.lit(1)).alias("n_rows"),
+        F.sum("revenue_gbp").cast("double").alias("revenue"), F.sum("net_units").cast("double").alias("units"),
+    )
+    refused = pipeline.open_rejects(warehouse, "raw_daily").groupBy(F.col("reject_reason").alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    nothing = F.lit(None).cast("double")
+    return loaded.unionByName(
+        refused.select(F.lit(None).cast("int").alias("year_month"), "outcome", "n_rows", nothing.alias("revenue"), nothing.alias("units"))
+    )
+
+
+def archived_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Staged rows by source and outcome after both deliveries: archived with their flag, or still staged without."""
+    warehouse = _warehouse(spark, sf)
+    pipeline.archive_processed(spark, warehouse.root)
+    made = []
+    for source in ("raw_sales", "raw_daily"):
+        key = STAGING_ID[source]
+        archived = warehouse.read(f"archive/{source}", staging_schema(source)).select(key, "processed_flag")
+        staged = pipeline.staged_table(warehouse, source).select(key, F.col("validation_status").alias("status"))
+        made.append(
+            staged.join(archived, key, "left").groupBy(F.lit(source).alias("source"), "status", F.coalesce("processed_flag", F.lit("N")).alias("flag"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_ids"))
+        )
+    return reduce(DataFrame.unionByName, made)
+
+
 def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
     """The sales fact after both deliveries: sales of editions unknown when they came keep -1."""
     fact = _warehouse(spark, sf).read("fact_sales", FACT_SALES)
@@ -570,8 +614,9 @@ def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
 def load_log(spark: SparkSession, sf: str) -> DataFrame:
     """What the logs say about the three loads: batches, and the rows their steps handled."""
     warehouse = _warehouse(spark, sf)
-    batches = warehouse.batches().select("batch_id", "batch_name", F.lit("-").alias("step"), "status", "records_processed")
-    steps = warehouse.steps().join(warehouse.batches().select("batch_id", "batch_name"), "batch_id").select(
+    loads = warehouse.batches().filter(F.col("batch_name").isin("FULL_LOAD", "INCREMENTAL_LOAD"))
+    batches = loads.select("batch_id", "batch_name", F.lit("-").alias("step"), "status", "records_processed")
+    steps = warehouse.steps().join(loads.select("batch_id", "batch_name"), "batch_id").select(
         "batch_id", "batch_name", F.regexp_replace("step_name", " [0-9]+$", "").alias("step"), "status", "records_processed"
     )
     return batches.unionByName(steps.filter("step <> 'rollups'"))
@@ -656,6 +701,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "seed_codes": seed_codes,
     "load_summary": load_summary,
     "incremental_load": incremental_load,
+    "incremental_daily": incremental_daily,
+    "archived_load": archived_load,
     "load_log": load_log,
     "exchange_rate_lookup": exchange_rate_lookup,
     "correlations": correlations,

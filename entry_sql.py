@@ -642,6 +642,27 @@ kept AS (
   WHERE NOT lost AND tqty > 0 AND p > 0 AND coalesce(dscnt <= 0.25, true)
 )"""
 
+# daily rows by supplier, under the product type names they are delivered with
+LOADED_DAILY = f"""supplied AS (
+  SELECT CAST(l_shipdate AS DATE) AS date_parsed, p_type IN ('STANDARD', 'SMALL', 'MEDIUM') AS typed,
+         CAST(sum(p_size) * 5 AS BIGINT) AS pd, sum(CAST(p_retailprice AS {M})) AS bc,
+         CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS us,
+         CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) END), 0) AS BIGINT) AS rv,
+         sum(CAST(l_extendedprice AS {M})) AS rev
+  FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY CAST(l_shipdate AS DATE), l_suppkey, p_type
+),
+costed AS (
+  SELECT *, {_try_div("bc", "pd", "DECIMAL(12,4)")} AS unit_cost, {_try_div("us * 100", "pd", "DECIMAL(5,2)")} AS used,
+         CASE WHEN us > 0 THEN {_try_div("rv * 100", "us", "DECIMAL(5,2)")} ELSE 0 END AS returned FROM supplied
+),
+earned AS (SELECT *, TRY_CAST(rev - TRY_CAST(unit_cost * us AS {M}) AS {M}) AS profit FROM costed),
+outcomes AS (
+  SELECT *, CASE WHEN NOT typed THEN 'NO_PRODUCT_TYPE' WHEN used IS NULL THEN 'OVERFLOW_PRINT_RUN_UTILIZATION'
+    WHEN returned IS NULL THEN 'OVERFLOW_RETURN_RATE_PCT'
+    WHEN rev > 0 AND {_try_div("profit * 100", "rev", "DECIMAL(5,2)")} IS NULL THEN 'OVERFLOW_GROSS_MARGIN_PCT' ELSE 'LOADED' END AS outcome
+  FROM earned
+)"""
+
 ORACLES: dict[str, str] = {
     "q1_top_editions_by_region": Q1,
     "q2_author_roi": Q2,
@@ -798,7 +819,22 @@ SELECT * FROM sold LEFT JOIN channel USING (channel_code) LEFT JOIN kind USING (
 SELECT CAST(year(date_parsed) * 100 + month(date_parsed) AS INTEGER) AS year_month, count(*) AS n_rows, count(*) AS n_sales,
        {_sum("net", "net")}, count(*) FILTER (p_size > 25 AND date_parsed < DATE '1998-07-01') AS unknown_editions
 FROM kept JOIN part ON p_partkey = l_partkey WHERE rn = 1 GROUP BY 1""",
+    "incremental_daily": f"""WITH {LOADED_DAILY}
+SELECT CASE WHEN outcome = 'LOADED' THEN CAST(year(date_parsed) * 100 + month(date_parsed) AS INTEGER) END AS year_month, outcome,
+       count(*) AS n_rows, CAST(sum(rev) FILTER (outcome = 'LOADED') AS DOUBLE) AS revenue,
+       CAST(sum(us - rv) FILTER (outcome = 'LOADED') AS DOUBLE) AS units
+FROM outcomes GROUP BY 1, 2""",
+    "archived_load": f"""{LOADED},
+{LOADED_DAILY},
+loaded AS (
+  SELECT 'raw_sales' AS source, coalesce(rn = 1, false) AS taken FROM staged_sales s LEFT JOIN kept k USING (stg_sales_id)
+  UNION ALL SELECT 'raw_daily', outcome = 'LOADED' FROM outcomes
+)
+SELECT source, 'VALID' AS status, CASE WHEN taken THEN 'Y' ELSE 'N' END AS flag, count(*) AS n_rows, count(*) AS n_ids
+FROM loaded GROUP BY ALL""",
     "load_log": f"""{LOADED},
+{LOADED_DAILY},
+sd AS (SELECT date_parsed < DATE '1998-07-01' AS early, count(*) AS n, count(*) FILTER (outcome = 'LOADED') AS kept FROM outcomes GROUP BY 1),
 m AS (
   SELECT p_size <= 25 AS early, count(*) AS n FROM (SELECT DISTINCT p_partkey, p_size, l_suppkey FROM part LEFT JOIN lineitem ON p_partkey = l_partkey)
   GROUP BY 1
@@ -807,9 +843,10 @@ s AS (SELECT date_parsed < DATE '1998-07-01' AS early, count(*) AS n FROM staged
 k AS (SELECT date_parsed < DATE '1998-07-01' AS early, count(*) AS n FROM kept WHERE rn = 1 GROUP BY 1),
 b(batch_id, batch_name, early) AS (VALUES (1::BIGINT, 'FULL_LOAD', true), (2, 'INCREMENTAL_LOAD', false), (3, 'INCREMENTAL_LOAD', NULL)),
 steps AS (
-  SELECT batch_id, batch_name, '-' AS step, coalesce(n, 0) AS records_processed FROM b LEFT JOIN k USING (early)
+  SELECT batch_id, batch_name, '-' AS step, coalesce(k.n, 0) + coalesce(sd.kept, 0) AS records_processed FROM b LEFT JOIN k USING (early) LEFT JOIN sd USING (early)
   UNION ALL SELECT batch_id, batch_name, 'load fact_sales', n FROM b JOIN k USING (early)
-  UNION ALL SELECT batch_id, batch_name, 'load fact_daily', 0 FROM b WHERE early IS NOT NULL
+  UNION ALL SELECT batch_id, batch_name, 'load fact_daily', kept FROM b JOIN sd USING (early)
+  UNION ALL SELECT batch_id, batch_name, 'stage raw_daily', n FROM b JOIN sd USING (early)
   UNION ALL SELECT batch_id, batch_name, 'dimensions', CASE WHEN early IS NULL THEN 0 ELSE 1 END FROM b
   UNION ALL SELECT batch_id, batch_name, 'stage raw_meta', n FROM b JOIN m USING (early)
   UNION ALL SELECT batch_id, batch_name, 'stage raw_sales', n FROM b JOIN s USING (early)

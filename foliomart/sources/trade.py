@@ -81,13 +81,15 @@ def staged_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def staged_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items by ship date, supplier nation and part type as staged daily operations."""
+def staged_daily(spark: SparkSession, sf_dir: str, by_supplier: bool = False) -> DataFrame:
+    """Line items by ship date, supplier nation (or supplier) and part type as staged daily operations."""
     lines = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_type", "p_size", "p_retailprice"
     )
     moved = lines.join(part, "l_partkey").join(supplier_nation(spark, sf_dir), "l_suppkey")
+    if by_supplier:
+        moved = moved.withColumn("n_name", F.concat(F.lit("V"), F.col("l_suppkey").cast("string")))
     quantity = F.col("l_quantity").cast("decimal(10,0)")
     day = F.col("l_shipdate").cast("date")
     daily = moved.groupBy(day.alias("day"), "n_name", "p_type").agg(
