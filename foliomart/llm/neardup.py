@@ -245,8 +245,10 @@ def named(
 ) -> DataFrame:
     """(doc, n_shingles, component_id) per doc_id; with ``among`` (column ``doc``) for these documents only."""
     spark = docs.sparkSession
-    rows = _sets(docs, doc_id, text, words)
-    rows = stored(rows if among is None else rows.join(among, "doc", "left_semi"), "signatures")
+    if among is not None:
+        asked = among.select(F.col("doc").alias(doc_id))
+        docs = docs.select(doc_id, text).join(asked, doc_id, "left_semi")
+    rows = stored(_sets(docs, doc_id, text, words), "signatures")
     part = rows.where("class IS NOT NULL AND doc IS NOT NULL")
     classes = stored(
         part.groupBy("class").agg(F.min(F.struct("doc", "sig")).alias("x"), F.count(F.lit(1)).alias("n"))

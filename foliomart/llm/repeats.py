@@ -299,15 +299,16 @@ class MatchIndex:
     Symbols are bytes + 1; 0 ends each text, and equal suffixes keep the order of their texts.
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], length: int = LENGTH):
+        """``length``: the longest prefix that `classes` will be asked about."""
         size = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.ends = np.cumsum(size) - 1  # of each text's end symbol
         n = int(size.sum())
-        self.symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int64) + 1
+        self.symbols = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8).astype(np.int16) + np.int16(1)
         self.symbols[self.ends] = 0
         if 3 * (n - 1).bit_length() > 64:
             raise ValueError("an index holds up to 2**21 symbols")
-        self.order, self.ranks = self._sorted(n, int(size.max()))
+        self.order, self.ranks = self._sorted(n, int(size.max()), length)
         before = self.symbols[self.order - 1]
         before[self.order == 0] = 0
         first = np.flatnonzero(np.concatenate(([True], before[1:] != before[:-1])))
@@ -324,14 +325,14 @@ class MatchIndex:
         self.rows = n
         self.run_of = np.repeat(np.arange(len(first), dtype=np.int32), run_length)
 
-    def _sorted(self, n: int, longest: int):
+    def _sorted(self, n: int, longest: int, length: int):
         """Suffix order by prefix doubling; a rank pair and the place fit one sortable integer."""
         bits = np.uint64(max(1, int(n - 1).bit_length()))
         size = np.diff(np.concatenate(([-1], self.ends)))
         to_end = (np.repeat(self.ends, size) - np.arange(n)).astype(np.int32)  # symbols left in the text
         place = np.arange(n, dtype=np.uint64)
         ranks = self.symbols.astype(np.uint64)
-        kept = {1: ranks}
+        kept = {1: self.symbols}
         width, first = 1, max(1, min(5, (64 - int(bits)) // 9))
         key = ranks.copy()
         for i in range(1, first):
@@ -348,7 +349,8 @@ class MatchIndex:
             np.cumsum(key[1:] != key[:-1], out=level[1:])
             ranks = np.empty(n, np.uint64)
             ranks[order] = level
-            kept[width] = ranks
+            if width <= length:  # the widest of these tells the classes apart
+                kept = {width: ranks.astype(np.uint32)}
             if width >= longest or int(level[-1]) == n - 1:
                 return order, kept
             key = ranks << bits
@@ -410,7 +412,7 @@ class MatchIndex:
 
 def owners(texts: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
     """Per text and window of ``length`` bytes: the smallest doc_id among the texts that hold it."""
-    index = MatchIndex(texts)
+    index = MatchIndex(texts, length)
     first = index.classes(length)
     whose = np.repeat(docs, np.diff(np.concatenate(([-1], index.ends))))
     tag = np.repeat(np.minimum.reduceat(whose[index.order], first), np.diff(np.append(first, index.rows)))
