@@ -15,6 +15,7 @@ from foliomart.functions.dates import parse_dates
 from foliomart.operators import calendar as cal
 from foliomart.operators import dimensions as dims
 from foliomart.operators import facts, keys, quality, scd2
+from foliomart.operators.keyindex import KeyIndex
 from foliomart.operators.lookups import attach
 from foliomart.plans import queries as bi
 from foliomart.plans import pipeline, rollups, trends
@@ -586,6 +587,21 @@ def incremental_daily(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def key_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Which sale numbers an index of the early shipments holds, by month; the index grows by portions and is laid down anew."""
+    lines = trade.table(spark, sf, "lineitem")
+    day, number = F.col("l_shipdate").cast("date"), F.concat_ws("-", "l_orderkey", "l_linenumber")
+    lines = lines.select(number.alias("sale_number"), day.alias("day"), "l_returnflag")
+    early = lines.filter(F.col("day") < F.lit(CUT))
+    index = KeyIndex(Warehouse(spark, scratch_path(spark, "indexed")), "sale_number", capacity=10_000)
+    for flag in ("A", "N", "R"):
+        index.add(early.filter(F.col("l_returnflag") == flag).select("sale_number"))
+    known = index.known(lines.select("sale_number")).select(F.col("key").alias("sale_number"), F.lit(True).alias("known"))
+    return lines.join(known, "sale_number", "left").groupBy(F.date_format("day", "yyyy-MM").alias("month")).agg(
+        F.count_if("known").alias("n_known"), F.count_if(F.col("known").isNull()).alias("n_new")
+    )
+
+
 def archived_load(spark: SparkSession, sf: str) -> DataFrame:
     """Staged rows by source and outcome after both deliveries: archived with their flag, or still staged without."""
     warehouse = _warehouse(spark, sf)
@@ -703,6 +719,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_load": incremental_load,
     "incremental_daily": incremental_daily,
     "archived_load": archived_load,
+    "key_index": key_index,
     "load_log": load_log,
     "exchange_rate_lookup": exchange_rate_lookup,
     "correlations": correlations,

@@ -824,6 +824,11 @@ SELECT CASE WHEN outcome = 'LOADED' THEN CAST(year(date_parsed) * 100 + month(da
        count(*) AS n_rows, CAST(sum(rev) FILTER (outcome = 'LOADED') AS DOUBLE) AS revenue,
        CAST(sum(us - rv) FILTER (outcome = 'LOADED') AS DOUBLE) AS units
 FROM outcomes GROUP BY 1, 2""",
+    "key_index": """WITH lines AS (
+  SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS day FROM lineitem
+), early AS (SELECT DISTINCT l_orderkey, l_linenumber, true AS known FROM lines WHERE day < DATE '1998-07-01')
+SELECT strftime(day, '%Y-%m') AS month, count(*) FILTER (known) AS n_known, count(*) FILTER (known IS NULL) AS n_new
+FROM lines LEFT JOIN early USING (l_orderkey, l_linenumber) GROUP BY 1""",
     "archived_load": f"""{LOADED},
 {LOADED_DAILY},
 loaded AS (
