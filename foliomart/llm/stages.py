@@ -40,13 +40,23 @@ def dropped(*frames: DataFrame) -> None:
         discard(frame.sparkSession, frame.stored_at)
 
 
+#: Documents handed to Python at a time. Spark's own 10,000 would be tens of megabytes of text, held several
+#: times over by the JVM's buffers and by each worker.
+BATCH = 1000
+
+
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
     """A stage of a pipeline whose result is written before the next stage begins.
 
     What a stage returns still reads tables it stored, so they are deleted when the next one begins.
+    The session is left with Arrow batches of at most ``BATCH`` rows, as the stage runs when its result
+    is written; results do not depend on it.
     """
     global _open, _left
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH:
+        spark.conf.set(setting, str(BATCH))
     for path in _left:
         discard(spark, path)
     _left, _open = [], []
