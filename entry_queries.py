@@ -17,10 +17,11 @@ from foliomart.operators import dimensions as dims
 from foliomart.operators import facts, keys, quality, scd2
 from foliomart.operators.keyindex import KeyIndex
 from foliomart.operators.lookups import attach
+from foliomart.operators.versions import VersionStore
 from foliomart.plans import queries as bi
 from foliomart.plans import pipeline, rollups, trends
 from foliomart.schemas import FACT_DAILY, FACT_SALES, SOURCE_COLUMNS, STAGING_ID, staging_schema
-from foliomart.session import scratch_path
+from foliomart.session import saved, scratch_path
 from foliomart.sources import extract, staging, trade
 from foliomart.sources.warehouse import Warehouse, rewrite_months, total_count, write_fact
 from foliomart.streaming import incremental
@@ -301,6 +302,22 @@ def scd2_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merged
 
 
+def scd2_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers' order status by two years, delivered out of order: every second extract first, then the others backwards."""
+    even = F.year(F.col("o_orderdate").cast("date"))
+    orders = trade.table(spark, sf, "orders").withColumn("year", even + F.pmod(even, F.lit(2)))
+    latest = F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("o_orderstatus")
+    states = saved(orders.groupBy("year", "o_custkey").agg(latest), scratch_path(spark, "states"))
+    years = sorted(r[0] for r in states.select("year").distinct().collect())
+    store = VersionStore(
+        Warehouse(spark, scratch_path(spark, "versions")), "dim/customer", states.schema["o_custkey"], [states.schema["o_orderstatus"]], "customer_key",
+        buckets=16,
+    )
+    for year in [*years[1::2], *reversed(years[::2])]:
+        store.merge(states.filter(F.col("year") == year).drop("year"), dt.date(year, 12, 31))
+    return store.versions().drop("customer_key")
+
+
 def _dimension(spark: SparkSession, sf: str, build: Callable, *drop: str) -> DataFrame:
     made = build(trade.meta_rows(spark, sf), F.lit(OPENING))
     return typed(made.drop("created_date", "created_by", "modified_date", "modified_by", *drop))
@@ -703,6 +720,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_key_density": fact_key_density,
     "scd2_history": scd2_history,
     "scd2_merge": scd2_merge,
+    "scd2_late": scd2_late,
     "dim_author": dim_author,
     "dim_vendor": dim_vendor,
     "dim_dc": dim_dc,

@@ -546,6 +546,11 @@ SELECT o_custkey, o_orderstatus, effective_date,
        CAST(row_number() OVER w AS INTEGER) AS record_version
 FROM changes WINDOW w AS (PARTITION BY o_custkey ORDER BY effective_date)"""
 
+_TWO_YEARS = "make_date(year(CAST(o_orderdate AS DATE)) + year(CAST(o_orderdate AS DATE)) % 2, 12, 31)"
+LATE = HISTORY.replace("CAST(o_orderdate AS DATE) AS effective_date", f"{_TWO_YEARS} AS effective_date").replace(
+    "arg_max(o_orderstatus, o_orderkey)", "arg_max(o_orderstatus, {'d': CAST(o_orderdate AS DATE), 'k': o_orderkey})"
+)
+
 MERGE = """WITH ordered AS (
   SELECT *, CAST(o_orderdate AS DATE) AS day FROM orders
 ),
@@ -765,6 +770,7 @@ SELECT CASE WHEN rn = 1 AND NOT there THEN 'KEPT' ELSE 'DUPLICATE' END AS outcom
     "fact_key_density": f"""WITH {FACT_SALES}
 SELECT CAST(100000 AS BIGINT) AS first_key, 99999 + count(*) AS last_key, count(*) AS n_keys FROM fact_sales""",
     "scd2_history": HISTORY,
+    "scd2_late": LATE,
     "scd2_merge": f"""SELECT 999 + row_number() OVER (ORDER BY effective_date, o_custkey) AS customer_key, * FROM ({MERGE})""",
     "dim_author": f"""WITH {META}
 SELECT p_brand AS author_id, 'Author' AS first_name, substr(p_brand, 7) AS last_name,
