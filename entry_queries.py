@@ -477,6 +477,25 @@ def rollup_refresh_months(spark: SparkSession, sf: str) -> DataFrame:
     return typed(made)
 
 
+def _delta(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The rollup from states of three batches, the fact is never read as a whole."""
+    table, _ = rollups.ROLLUPS[name]
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        warehouse, dims = Warehouse(spark, scratch_path(spark, "warehouse")), trade.stored_star(spark, sf)
+        fact, states = trade.stored_fact(spark, sf, table), rollups.RollupStates(warehouse, name)
+        batch = F.pmod(F.xxhash64("source_record_id"), F.lit(3)) + 1
+        for number in (1, 2, 3):
+            states.add(number, fact.filter(batch == number), dims)
+        return rollups.refresh_from_states(warehouse, name, states.read([1, 2, 3]), dims)
+
+    return run
+
+
+def m6_delta_vendor_cost(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(typed(_delta("vendor_cost_analysis")(spark, sf)), "cost_stddev", "cost_variance_pct")
+
+
 def _question(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         return typed(build(_sales(spark, sf), trade.stored_star(spark, sf), trade.AS_OF))
@@ -673,6 +692,19 @@ def stream_daily(spark: SparkSession, sf: str) -> DataFrame:
     return typed(incremental.run_latest(totals, ["day", "event_type"], path, log))
 
 
+def stream_daily_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The event stream in four deliveries that each span all days: the first is in time, most of the others late."""
+    folder, path, log = (scratch_path(spark, name) for name in ("events", "late", "late-log"))
+    events = trade.table(spark, sf, "events").withColumn("value", F.col("value").cast(n.MONEY))
+    for number in range(4):
+        part = events.filter(F.pmod("event_id", F.lit(4)) == number).select("ts", "event_type", "value")
+        part.write.mode("append").parquet(folder)
+        rows = spark.readStream.schema(part.schema).parquet(folder)
+        made = incremental.stream_daily_late(rows, "ts", "event_type", "value", path, log, dt.timedelta(days=2))
+    both = made.totals.withColumn("outcome", F.lit("in time")).unionByName(made.corrections.withColumn("outcome", F.lit("late")))
+    return typed(both)
+
+
 def stream_unique(spark: SparkSession, sf: str) -> DataFrame:
     """Users of the event stream, each once: they are remembered for as long as the events span."""
     events = trade.table(spark, sf, "events")
@@ -697,6 +729,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m5_channel_performance": _rollup("channel_performance"),
     "m6_rollup_refresh": rollup_refresh,
     "m6_rollup_refresh_months": rollup_refresh_months,
+    "m6_delta_monthly_sales": lambda spark, sf: typed(_delta("monthly_sales_summary")(spark, sf)),
+    "m6_delta_daily_dc": lambda spark, sf: typed(_delta("daily_dc_performance")(spark, sf)),
+    "m6_delta_vendor_cost": m6_delta_vendor_cost,
+    "m6_delta_channel": lambda spark, sf: typed(_delta("channel_performance")(spark, sf)),
     "calendar_dim": calendar_dim,
     "calendar_report": calendar_report,
     "calendar_easter": calendar_easter,
@@ -749,5 +785,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "author_features": author_features,
     "kmeans_segments": kmeans_segments,
     "stream_daily": stream_daily,
+    "stream_daily_late": stream_daily_late,
     "stream_unique": stream_unique,
 }

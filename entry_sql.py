@@ -684,6 +684,10 @@ ORACLES: dict[str, str] = {
     "m5_channel_performance": M5,
     "m6_rollup_refresh": M5,
     "m6_rollup_refresh_months": M5,
+    "m6_delta_monthly_sales": M1,
+    "m6_delta_daily_dc": M2,
+    "m6_delta_vendor_cost": M4,
+    "m6_delta_channel": M5,
     "calendar_dim": f"WITH {CALENDAR} SELECT * FROM cal",
     "calendar_report": f"""WITH {CALENDAR}
 SELECT 'Total Records' AS metric, CAST(count(*) AS VARCHAR) AS value FROM cal
@@ -919,5 +923,12 @@ SELECT vendor_id, vendor_name, year, quarter_number, avg_unit_cost, prev_unit_co
   FROM events GROUP BY 1, 2
 )
 SELECT * FROM days""",
+    "stream_daily_late": """WITH parts AS (
+  SELECT CAST(ts AS DATE) AS day, ts, event_type, CAST(value AS DECIMAL(12,2)) AS value, event_id % 4 AS part FROM events
+), ends AS (SELECT part, max(ts) AS newest FROM parts GROUP BY 1),
+closed AS (SELECT part, max(newest) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 2 DAY AS upto FROM ends)
+SELECT day, event_type, CASE WHEN upto IS NOT NULL AND CAST(day + INTERVAL 1 DAY AS TIMESTAMP) <= upto THEN 'late' ELSE 'in time' END AS outcome,
+       count(*) AS n_rows, CAST(sum(value) AS DOUBLE) AS total
+FROM parts JOIN closed USING (part) GROUP BY ALL""",
     "stream_unique": "SELECT DISTINCT user_id FROM events",
 }

@@ -279,3 +279,48 @@ def test_a_rerun_finishes_a_stopped_load(spark, tmp_path, monkeypatch):
     before = w.steps().count()
     pipeline.run_incremental(spark, root, folders, state, DAY)
     assert {r["step_name"] for r in w.steps().orderBy(F.desc("batch_id")).limit(w.steps().count() - before).collect()} == {"dimensions"}
+
+
+def test_only_open_portions_are_read(spark, tmp_path):
+    """Settled portions are not looked at again; rejects come back when a dimension changed, all if a load stopped."""
+    w = pipeline.Warehouse(spark, str(tmp_path / "w"))
+    load = pipeline.Load(w, "TEST")
+    rows, _ = extract(spark, write_extracts(tmp_path)["raw_sales"], "raw_sales")
+    for _ in range(2):
+        pipeline.stage_rows(load, "raw_sales", rows)
+    load.book.note("raw_sales", 1, "TRIED")
+
+    def todo(of=None):
+        return pipeline.to_load(of or load, "fact_sales", "raw_sales")
+
+    first = todo()
+    assert first.portions == [2] and first.old is None and not first.broken
+    files = {r[0] for r in first.rows.select(F.input_file_name()).distinct().collect()}
+    assert files and all("stage_batch=2/" in f for f in files)
+    load.book.note("raw_sales", 2, "TRIED")
+    assert todo().rows is None
+
+    low = pipeline.staged_table(w, "raw_sales", [1]).agg(F.min("stg_sales_id")).first()[0]
+    w.replace("ledger/raw_sales", spark.createDataFrame([(low, 1, "NO_TIME_KEY")], "stg_sales_id bigint, stage_batch int, reject_reason string"))
+    load.book.note("refused/raw_sales", 0, "TRIED", str(load.book.next("dimensions")))
+    assert todo().rows is None
+    load.book.note("dimensions", load.book.next("dimensions"), "CHANGED")
+    assert [r["stg_sales_id"] for r in todo(pipeline.Load(w, "NEXT")).rows.collect()] == [low]
+
+    load.book.note("raw_sales", 2, "LOADING")
+    stopped = todo(pipeline.Load(w, "LATER"))
+    assert stopped.broken and stopped.portions == [2] and stopped.rows.count() == len(SALES) + 1
+
+
+def test_unfinished_portions_are_forgotten(spark, tmp_path):
+    w = pipeline.Warehouse(spark, str(tmp_path / "w"))
+    load = pipeline.Load(w, "TEST")
+    rows, _ = extract(spark, write_extracts(tmp_path)["raw_sales"], "raw_sales")
+    pipeline.stage_rows(load, "raw_sales", rows)
+    load.book.note("raw_sales", 1, "STARTED")  # as if the confirmation had not come
+    after = pipeline.Load(w, "AFTER")
+    assert pipeline.delivered(after, "raw_sales").count() == 0
+    pipeline.discard_unfinished(after)
+    assert pipeline.staged_table(w, "raw_sales").count() == 0 and after.book.numbers("raw_sales", "DISCARDED") == [1]
+    pipeline.stage_rows(after, "raw_sales", rows)
+    assert after.book.numbers("raw_sales", "STAGED") == [2] and pipeline.delivered(after, "raw_sales").count() == 1

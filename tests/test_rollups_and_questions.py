@@ -212,3 +212,46 @@ def test_plans(spark, fact, star, tmp_path):
     dropped = stored.filter("year_month = 202401").count() - 3
     rewrite_months(month, path)
     assert spark.read.parquet(path).count() == before - dropped
+
+
+def test_states_of_batches_add_up(spark, fact, star, tmp_path, monkeypatch):
+    """Portions, also added up ones, show what the whole fact does; a changed dimension is seen without it."""
+    from pyspark.sql import functions as F
+
+    from foliomart.sources.warehouse import Warehouse
+
+    monkeypatch.setattr(rollups, "PORTIONS", 2)
+    w = Warehouse(spark, str(tmp_path))
+    batch = F.pmod("sales_fact_key", F.lit(4)) + 1
+
+    def same(a, b):
+        return sorted(map(repr, (tuple(r) for r in a.collect()))) == sorted(map(repr, (tuple(r) for r in b.collect())))
+
+    states = rollups.RollupStates(w, "channel_performance")
+    for number in (1, 2, 3):
+        states.add(number, fact.filter(batch == number), star)
+    states.add(3, fact.filter(batch == 3), star)  # a repeat
+    states.compact([1, 2, 3])
+    states.add(4, fact.filter(batch == 4), star)
+    assert states._upto() == 3 and (tmp_path / "state/channel_performance/upto=3").exists()
+    assert not (tmp_path / "state/channel_performance/batch=1").exists()
+    made = rollups.refresh_from_states(w, "channel_performance", states.read([1, 2, 3, 4]), star)
+    assert same(made, rollups.channel_performance(fact, star))
+    named = Star({**star, "channel": star["channel"].withColumn("channel_name", F.lit("Renamed"))})
+    shown = rollups.refresh_from_states(w, "channel_performance", states.read([1, 2, 3, 4]), named)
+    assert same(shown, rollups.channel_performance(fact, named))
+
+
+def test_vendor_states_keep_the_spread(spark, star, tmp_path):
+    from foliomart.sources.warehouse import Warehouse
+
+    rng = random.Random(9)
+    rows = [(20240100 + rng.randrange(1, 29), rng.choice([1, 2]), 10, Decimal(5), Decimal(rng.randrange(1, 99999)) / 10000, Decimal(7))
+            for _ in range(60)] + [(20240501, 3, 10, Decimal(5), Decimal("1.5"), None)]
+    states = rollups.RollupStates(Warehouse(spark, str(tmp_path)), "vendor_cost_analysis")
+    for number, part in enumerate((rows[:30], rows[30:]), 1):
+        states.add(number, spark.createDataFrame(part, DAILY), star)
+    got = {r["vendor_id"]: r for r in states.show(states.read([1, 2]), star, "latest").collect()}
+    costs = [float(r[4]) for r in rows[:60]]
+    assert math.isclose(got["V1"]["cost_stddev"], statistics.stdev(costs), rel_tol=1e-9)
+    assert (got["V3"]["cost_stddev"], got["V3"]["avg_vendor_score"]) == (0.0, None)
