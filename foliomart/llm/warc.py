@@ -127,7 +127,8 @@ def write(pages: DataFrame, folder: str, min_bytes: int = MIN_BYTES, archive_byt
 
         def closed():
             out.close()
-            path = f"part-{task.partitionId():06d}-{number:04d}.warc.gz"
+            # the attempt tells apart what a second attempt of the task writes, perhaps in another order
+            path = f"part-{task.partitionId():06d}-{task.taskAttemptId()}-{number:04d}.warc.gz"
             system.move(f"{root}/{temporary}", f"{root}/{path}")
             return pa.RecordBatch.from_pydict({"path": [f"{folder}/{path}"], "records": [count], "bytes": [size]})
 
