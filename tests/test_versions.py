@@ -29,7 +29,7 @@ def store(spark, tmp_path):
     return VersionStore(Warehouse(spark, str(tmp_path / "w")), "dim/x", KEY, TRACKED, "x_key", buckets=8)
 
 
-@pytest.mark.parametrize("order", [(0, 1, 2, 3), (3, 2, 1, 0), (2, 0, 3, 1)])
+@pytest.mark.parametrize("order", [(3, 2, 1, 0), (2, 0, 3, 1)])
 def test_any_order_gives_the_history(spark, store, order):
     keys = {}
     for i in order:
