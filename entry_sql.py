@@ -668,6 +668,37 @@ outcomes AS (
   FROM earned
 )"""
 
+AUTHOR_FEATURES = f"""SELECT author_id, {_sum("quantity_sold", "units")}, {_sum("net_amount_gbp", "revenue")}, {_sum("gross_profit_gbp", "profit")},
+       coalesce({_avg("gross_margin_pct")}, 0) AS margin, coalesce({_avg("discount_rate")}, 0) AS discount
+FROM fact_sales JOIN author USING (author_key) WHERE author_key <> -1 GROUP BY author_id"""
+
+
+def kmeans(k: int, rounds: int) -> str:
+    """Farthest-point starts and Lloyd rounds written out one by one, over features in millionths of a deviation."""
+    used = ["units", "revenue", "profit", "margin", "discount"]
+
+    def apart(other: str) -> str:
+        return " + ".join(f"(CAST(p.x{i} AS DOUBLE) - {other}.x{i}) * (CAST(p.x{i} AS DOUBLE) - {other}.x{i})" for i in range(len(used)))
+
+    grid = ", ".join(f"CAST(round(coalesce(({c} - (SELECT avg({c}) FROM features)) / nullif((SELECT stddev_samp({c}) FROM features), 0) * 1000000, 0)) AS BIGINT) AS x{i}" for i, c in enumerate(used))
+    xs = [f"x{i}" for i in range(len(used))]
+    parts = [FACT_SALES, f"features AS MATERIALIZED ({AUTHOR_FEATURES})", f"points AS MATERIALIZED (SELECT *, {grid} FROM features)"]
+    parts.append(f"mean AS (SELECT {', '.join(f'0 AS {x}' for x in xs)})")
+    for j in range(k):
+        known = [f"start{i}" for i in range(j)] or ["mean"]
+        far = f"least({', '.join(map(apart, known))})" if j > 1 else apart(known[0])
+        columns = ", ".join(f"CAST(p.{x} AS DOUBLE) AS {x}" for x in xs)
+        parts.append(f"start{j} AS MATERIALIZED (SELECT {columns} FROM points p, {', '.join(known)} ORDER BY {far} DESC, author_id LIMIT 1)")
+    parts.append("centre0 AS MATERIALIZED (" + " UNION ALL ".join(f"SELECT CAST({j} AS INTEGER) AS segment, * FROM start{j}" for j in range(k)) + ")")
+    for r in range(rounds + 1):
+        parts.append(f"""assigned{r} AS MATERIALIZED (
+  SELECT p.*, c.segment FROM points p, centre{r} c
+  QUALIFY row_number() OVER (PARTITION BY author_id ORDER BY {apart("c")}, c.segment) = 1)""")
+        means = ", ".join(f"coalesce(CAST(sum(a.{x}) AS DOUBLE) / count(a.{x}), any_value(c.{x})) AS {x}" for x in xs)
+        parts.append(f"centre{r + 1} AS MATERIALIZED (SELECT c.segment, {means} FROM centre{r} c LEFT JOIN assigned{r} a USING (segment) GROUP BY c.segment)")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT author_id, {', '.join(used)}, segment FROM assigned{rounds}"
+
+
 ORACLES: dict[str, str] = {
     "q1_top_editions_by_region": Q1,
     "q2_author_roi": Q2,
@@ -900,10 +931,8 @@ scored AS (
   FROM fact_sales JOIN figures USING (product_type_key)
 )
 SELECT * FROM scored WHERE score > 1.5""",
-    "author_features": f"""WITH {FACT_SALES}
-SELECT author_id, {_sum("quantity_sold", "units")}, {_sum("net_amount_gbp", "revenue")}, {_sum("gross_profit_gbp", "profit")},
-       coalesce({_avg("gross_margin_pct")}, 0) AS margin, coalesce({_avg("discount_rate")}, 0) AS discount
-FROM fact_sales JOIN author USING (author_key) WHERE author_key <> -1 GROUP BY author_id""",
+    "author_features": f"WITH {FACT_SALES}\n{AUTHOR_FEATURES}",
+    "kmeans_segments": kmeans(4, 20),
     "trend_forecast": FORECAST,
     "dc_percentile": f"""{Q6_BASE},
 placed AS (

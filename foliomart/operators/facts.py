@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from foliomart.functions import numeric as n
 from foliomart.operators import quality as q
-from foliomart.operators.keys import assign_keys, first_per_key, rest_of
+from foliomart.operators.keys import MOST_PIECES, PIECE_ROWS, assign_keys, first_per_key, rest_of
 from foliomart.operators.lookups import Star, ambiguous, current, looked_up, unique_by
 from foliomart.schemas import (
     DEFAULT_RATES,
@@ -220,19 +220,20 @@ def _finish(
     carried = list(dict.fromkeys([id_col, "date_parsed", *measures]))
     tagged = saved(tagged.select(*carried, "reject_reason"), f"{work}/tagged")
     valid = tagged.filter(F.col("reject_reason").isNull())
-    kept = first_per_key(valid, unique, ["date_parsed", id_col], existing)
-    kept = saved(kept.select(*carried), f"{work}/kept")
-    late = rest_of(valid, kept, [*unique, "date_parsed", id_col])
-    refused = tagged.filter(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason")
-    refused = refused.unionByName(late.select(id_col, F.lit("DUPLICATE").alias("reject_reason")))
-    rejected = staged.join(refused, id_col).select(*staged.columns, "reject_reason")
     if first_key is not None:
         start = F.lit(first_key)
     elif existing is not None:
         start = existing.agg(F.coalesce(F.max(key) + 1, F.lit(FIRST_FACT_KEY))).scalar()
     else:
         start = F.lit(FIRST_FACT_KEY)
-    numbered = assign_keys(kept, "date_parsed", id_col, key, start)
+    kept = first_per_key(valid, unique, ["date_parsed", id_col], existing).select(*carried)
+    # counted from the written rows, as an upper bound of those kept
+    pieces = min(max(1, -(-tagged.count() // PIECE_ROWS)), MOST_PIECES)
+    numbered = assign_keys(kept, "date_parsed", id_col, key, start, pieces, f"{work}/kept")
+    late = rest_of(valid, numbered, [*unique, "date_parsed", id_col])
+    refused = tagged.filter(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason")
+    refused = refused.unionByName(late.select(id_col, F.lit("DUPLICATE").alias("reject_reason")))
+    rejected = staged.join(refused, id_col).select(*staged.columns, "reject_reason")
     values = {f.name: F.col(f.name) for f in schema.fields if f.name not in audit} | audit
     fact = numbered.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in schema.fields])
     return fact, rejected

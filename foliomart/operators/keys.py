@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from foliomart.operators.lookups import matching
+from foliomart.session import saved, scratch_path
 
-# Rows of one day are numbered in pieces of about this many rows.
+# Rows are numbered in pieces of about this many rows, or larger ones beyond so many pieces.
 PIECE_ROWS = 100_000
+MOST_PIECES = 20_000
 
 
 def first_per_key(
@@ -52,48 +53,31 @@ def assign_keys(
     key: str,
     start: int | Column,
     pieces: int | None = None,
+    work: str | None = None,
 ) -> DataFrame:
-    """Number rows densely from ``start``: by day, then piece of the day, then id.
+    """Number rows densely from ``start`` by day (without one first) and id.
 
-    Each day is cut into as many pieces as its rows need (or ``pieces``): equal ranges of the day's
-    ids for whole-number ids (the order is then plain day, id), else ranges of their hash. Rows are counted
-    per piece, the counts are summed up to a first number per piece, and rows are numbered inside
-    a piece. A day's rows thus never meet in one task, and it has few pieces however far apart its
-    ids lie. Ranges whose ids crowd together are larger than others.
+    Rows are partitioned by ranges of day and id and sorted in their partition. Spark samples the
+    bounds, so pieces are about even however the ids of a day crowd together or lie apart; equal
+    rows of day and id stay in one piece. The sorted rows are written to ``work`` (a folder the
+    executors share) with their place in the piece, pieces are counted from what was written, and
+    the counts add up to a first number per piece. That is one shuffle, without a window over
+    rows, and later steps cannot see other bounds. ``pieces`` is their number; without it there
+    is one per ``PIECE_ROWS`` rows, at most ``MOST_PIECES``.
     """
-    whole = isinstance(df.schema[id_col].dataType, (T.IntegerType, T.LongType))
-    low, high = (F.min(id_col), F.max(id_col)) if whole else (F.lit(0), F.lit(0))
-    dated = df.withColumn("_day", F.coalesce(F.col(day_col), F.lit("1000-01-01").cast("date")))
-    # one row per day
-    spans = dated.groupBy("_day").agg(
-        F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / PIECE_ROWS) if pieces is None else F.lit(pieces)).cast("bigint").alias("_pieces"),
-        low.cast("bigint").alias("_low"), high.cast("bigint").alias("_high"),
-    )
-    if whole:
-        # doubles may put two neighbours into one range or split them, but never out of order
-        place = (F.col(id_col) - F.col("_low")).cast("double") / (F.col("_high") - F.col("_low") + 1).cast("double")
-        piece = F.least(F.floor(place * F.col("_pieces")), F.col("_pieces") - 1)
-        order = [F.col(id_col)]
-    else:
-        place = F.xxhash64(F.col(id_col)).cast("double") / F.lit(2.0**64) + F.lit(0.5)
-        piece = F.least(F.floor(place * F.col("_pieces")), F.col("_pieces") - 1)
-        order = [F.xxhash64(F.col(id_col)), F.col(id_col)]
-    cut = dated.join(F.broadcast(spans), "_day").withColumn("_piece", piece.cast("bigint"))
-    cut = cut.select(*df.columns, "_day", "_piece")
-    counts = cut.groupBy("_day", "_piece").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = (Window.unboundedPreceding, -1)
-    # one row per day: as many as the calendar has days
-    days = counts.groupBy("_day").agg(F.sum("_n").alias("_day_n"))
-    day_offset = F.sum("_day_n").over(Window.orderBy("_day").rowsBetween(*earlier))
-    days = days.select("_day", F.coalesce(day_offset, F.lit(0)).alias("_day_offset"))
-    in_day = Window.partitionBy("_day").orderBy("_piece").rowsBetween(*earlier)
-    offsets = counts.withColumn("_piece_offset", F.coalesce(F.sum("_n").over(in_day), F.lit(0))).join(
-        days, "_day"
-    )
+    spark = df.sparkSession
+    if pieces is None:
+        pieces = min(max(1, -(-df.count() // PIECE_ROWS)), MOST_PIECES)
+    order = [F.coalesce(F.col(day_col), F.lit("1000-01-01").cast("date")), F.col(id_col)]
+    lined_up = df.repartitionByRange(pieces, *order).sortWithinPartitions(*order)
+    # the partition's number from bit 33 on, the row's place in it below
+    lined_up = saved(lined_up.withColumn("_at", F.monotonically_increasing_id()), work or scratch_path(spark, "numbered"))
+    piece = F.shiftright("_at", 33)
+    counts = lined_up.groupBy(piece.alias("_piece")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per piece
+    earlier = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     first = start if isinstance(start, Column) else F.lit(start)
-    position = F.row_number().over(Window.partitionBy("_day", "_piece").orderBy(*order))
-    numbered = cut.join(
-        offsets.select("_day", "_piece", (F.col("_day_offset") + F.col("_piece_offset")).alias("_before")),
-        ["_day", "_piece"],
-    ).withColumn(key, (first + F.col("_before") + position - 1).cast("bigint"))
-    return numbered.select(key, *df.columns)
+    place = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = lined_up.join(F.broadcast(offsets), piece == F.col("_piece"))
+    return numbered.select((first + F.col("_before") + place).cast("bigint").alias(key), *df.columns)

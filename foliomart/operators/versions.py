@@ -138,7 +138,7 @@ class VersionStore:
             made = made.unionByName(self._spliced(judged.filter("kind = 'late'").select(self.key), buckets, was_late))
         made = saved(made, f"{work}/made")
         added = made.filter(F.col(self.surrogate).isNull()).drop(self.surrogate)
-        keyed = saved(assign_keys(added, "effective_date", self.key, self.surrogate, top + 1), f"{work}/keyed")
+        keyed = assign_keys(added, "effective_date", self.key, self.surrogate, top + 1, work=f"{work}/keyed")
         top = keyed.agg(F.max(self.surrogate)).first()[0] or top
         made = made.filter(F.col(self.surrogate).isNotNull()).unionByName(keyed).withColumn("bucket", self._bucket())
         others = self._rows("Y", buckets).join(judged.select(self.key), self.key, "left_anti").select(*self.schema.names, "bucket")

@@ -56,8 +56,25 @@ def test_sparse_ids_of_one_hot_day_are_few_even_pieces(spark, monkeypatch):
     df = spark.range(3000).select(F.lit(DAY).alias("d"), (F.col("id") * 1_000_000_007).alias("id"))
     made = assign_keys(df, "d", "id", "key", 1)
     assert [r["key"] for r in made.orderBy("id").collect()] == list(range(1, 3001))
-    plan = made._jdf.queryExecution().logical().toString()
-    assert "_pieces" in plan
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_crowded_ids_make_even_pieces(spark, monkeypatch, tmp_path):
+    """90 % of a day's ids lie in 1 % of their range."""
+    monkeypatch.setattr(keys, "PIECE_ROWS", 500)
+    crowd = spark.range(18000).select(F.lit(DAY).alias("d"), (F.col("id") + 5_000_000).alias("id"))
+    wide = spark.range(2000).select(F.lit(DAY).alias("d"), (F.col("id") * 1000 + 7_000_000_000).alias("id"))
+    work = str(tmp_path / "work")
+    made = assign_keys(crowd.union(wide).repartition(8), "d", "id", "key", 1, work=work)
+    assert [r["key"] for r in made.orderBy("id").collect()] == list(range(1, 20001))
+    sizes = spark.read.parquet(work).groupBy(F.shiftright("_at", 33)).count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] <= 2 * 500 and sizes[1] >= 20
+
+
+def test_no_rows_get_no_keys(spark):
+    df = spark.createDataFrame([], "d date, id bigint")
+    assert assign_keys(df, "d", "id", "key", 1).collect() == []
 
 
 def merge(current, incoming, day):

@@ -6,6 +6,7 @@ from collections import defaultdict
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from foliomart.operators.calendar import calendar
 from foliomart.operators.lookups import Star, view
@@ -194,6 +195,56 @@ def test_statistics(spark, fact, star, facts):
     assert trends.author_features(fact, star).count() == 1
 
 
+@pytest.mark.parametrize("few", [1, 40, 100_000])
+def test_quantiles_by_ranges(spark, monkeypatch, few):
+    monkeypatch.setattr(trends, "FEW_ROWS", few)
+    monkeypatch.setattr(trends, "PARTS", 8)
+    rng = random.Random(5)
+    groups = {
+        "hot": [rng.lognormvariate(0, 9) for _ in range(3000)], "ties": [7.0] * 500 + [8.0], "one": [-3.5],
+        "far": [-1.7e308, 1.7e308, 0.0, 5e-324, 1.0], "digits": [rng.randrange(300) / 100 for _ in range(900)],
+    }
+    odd = [("hot", None), ("hot", float("nan")), ("hot", float("inf")), (None, 1.0), ("none", None)]
+    rows = [(g, x) for g, xs in groups.items() for x in xs] + odd
+    shares = [0.0, 0.25, 0.5, 0.75, 1.0]
+    found = trends.quantiles(spark.createDataFrame(rows, "g string, x double"), "g", "x", shares).collect()
+    want = {(g, s): sorted(xs)[max(1, math.ceil(len(xs) * s)) - 1] for g, xs in groups.items() for s in shares}
+    assert {(r["g"], r["share"]): r["value"] for r in found} == want and len(found) == len(want)
+
+
+def test_segments_follow_the_rounds_written_out(spark):
+    rng = random.Random(9)
+    rows = [(f"a{i:03}", *[rng.gauss(5 * (i % 3), 1.0) for _ in range(2)]) for i in range(120)]
+    rows += [("b", None, 4.0), ("c", *rows[0][1:])]
+
+    def grid(column):
+        known = [x for x in column if x is not None]
+        mean, dev = statistics.mean(known), statistics.stdev(known)
+        return [0 if x is None else round((x - mean) / dev * 1_000_000) for x in column]
+
+    points = list(zip(*[grid([r[j] for r in rows]) for j in (1, 2)]))
+
+    def apart(p, c):
+        return sum((a - b) ** 2 for a, b in zip(p, c))
+
+    centres = []
+    for _ in range(4):
+        far = [min((apart(p, c) for c in centres or [(0, 0)])) for p in points]
+        centres.append(points[min(range(len(rows)), key=lambda i: (-far[i], rows[i][0]))])
+    for _ in range(20):
+        near = [min(range(4), key=lambda j: (apart(p, centres[j]), j)) for p in points]
+        held = [[p for p, n in zip(points, near) if n == j] for j in range(4)]
+        centres = [tuple(sum(v) / len(h) for v in zip(*h)) if h else c for h, c in zip(held, centres)]
+    near = [min(range(4), key=lambda j: (apart(p, centres[j]), j)) for p in points]
+    df = spark.createDataFrame(rows, "id string, x double, y double")
+    want = {r[0]: n for r, n in zip(rows, near)}
+    for parts in (1, 7):
+        assert {r["id"]: r["segment"] for r in trends.segments(df.repartition(parts)).collect()} == want
+    assert trends.segments(df.limit(0)).collect() == []
+    same = trends.segments(df.select("id", F.lit(1.0).alias("x"))).select("segment").distinct().collect()
+    assert [r[0] for r in same] == [0]
+
+
 def test_plans(spark, fact, star, tmp_path):
     """Stored facts are pruned by month, joins on fact rows only broadcast the calendar."""
     path = str(tmp_path / "fact")
