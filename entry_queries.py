@@ -663,6 +663,71 @@ def incremental_load(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def exchange_rates_loaded(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as dated exchange rates in two loads of the same days: rates stored by currency and year, and refused rows by reason."""
+    w = Warehouse(spark, scratch_path(spark, "rates"))
+    w.replace("dim/currency", dims.dim_currency(spark))
+    priority = F.substring("o_orderpriority", 1, 1)
+    code = F.when(priority == "1", "USD").when(priority == "2", "EUR").when(priority == "3", "GBP").otherwise("XXX")
+    given = trade.table(spark, sf, "orders").select(
+        code.alias("from_code"),
+        F.lit("GBP").alias("to_code"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date").cast("string")).alias("rate_date"),
+        # some are not positive, some do not fit
+        ((F.col("o_totalprice").cast(n.MONEY) - 30000) * 3).alias("exchange_rate"),
+        F.col("o_orderstatus").alias("rate_source"),
+        F.pmod("o_orderkey", F.lit(2)).alias("turn"),
+    )
+    for turn in (0, 1):
+        load = pipeline.Load(w, "LOAD_RATES")
+        load.run(lambda: pipeline.load_rates(load, given.filter(F.col("turn") == turn).drop("turn")))
+    codes = w.current("dim/currency").select("currency_code", F.col("currency_key").alias("from_currency_key"))
+    stored = w.current("dim/exchange_rate").join(codes, "from_currency_key").groupBy(
+        F.lit("STORED").alias("outcome"), F.col("currency_code").alias("from_code"), F.floor(F.col("time_key") / 10000).cast("int").alias("year")
+    )
+    refused = w.read("rejected/exchange_rate").groupBy(
+        F.col("reject_reason").alias("outcome"), "from_code", F.year(F.col("rate_date").cast("date")).alias("year")
+    )
+    figures = [F.count(F.lit(1)).alias("n_rows"), F.sum("exchange_rate").cast("double").alias("total")]
+    return stored.agg(*figures).unionByName(refused.agg(*figures))
+
+
+def staging_emptied(spark: SparkSession, sf: str) -> DataFrame:
+    """Sales staged after staging was emptied, by month: ids go on after those that were emptied, the log says what was done."""
+    w, folder = Warehouse(spark, scratch_path(spark, "emptied")), scratch_path(spark, "emptied-in")
+    sold, first = trade.staged_sales(spark, sf), F.col("date_parsed") < F.lit(CUT)
+    tops = []
+    for number, rows in enumerate((sold.filter(first), sold.filter(~first))):
+        _written(rows, SOURCE_COLUMNS["raw_sales"], f"{folder}/{number}")
+        load = pipeline.Load(w, "STAGE")
+        load.run(lambda: pipeline.stage_rows(load, "raw_sales", extract.extract(spark, f"{folder}/{number}", "raw_sales")[0]))
+        tops.append(load.book.top("raw_sales"))
+        if number == 0:
+            pipeline.truncate_staging(spark, w.root)
+    emptied = w.batches().filter(F.col("batch_name") == "TRUNCATE_STAGING").agg(F.max("status")).scalar()
+    key = STAGING_ID["raw_sales"]
+    return pipeline.staged_table(w, "raw_sales").groupBy(F.date_format("date_parsed", "yyyy-MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_ids"),
+        F.bool_and(F.col(key) > tops[0]).alias("ids_go_on"), F.first(emptied).alias("emptied"),
+    )
+
+
+def audit_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """Who made and changed versions of customers: every version names its maker, a closed one who closed it."""
+    schema = T.StructType.fromDDL(
+        "customer_key bigint, o_custkey bigint, o_orderstatus string, effective_date date, expiry_date date, is_current string,"
+        " record_version int, created_date timestamp, created_by string, modified_date timestamp, modified_by string"
+    )
+    merged = spark.createDataFrame([], schema)
+    for day in (OPENING, CLOSING):
+        merged = scd2.scd2_merge(merged, _status_at(spark, sf, day), "o_custkey", ["o_orderstatus"], F.lit(day), "customer_key", 1000)
+    made = (F.col("created_by") == F.current_user()) & F.col("created_date").isNotNull()
+    changed = (F.col("modified_by") == F.current_user()) & (F.col("modified_date") >= F.col("created_date"))
+    return merged.groupBy("is_current", "record_version").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(made).alias("n_made"), F.count_if(changed).alias("n_changed")
+    )
+
+
 def load_log(spark: SparkSession, sf: str) -> DataFrame:
     """What the logs say about the three loads: batches, and the rows their steps handled."""
     warehouse = _warehouse(spark, sf)
@@ -784,6 +849,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vendor_trend": vendor_trend,
     "author_features": author_features,
     "kmeans_segments": kmeans_segments,
+    "exchange_rates_loaded": exchange_rates_loaded,
+    "staging_emptied": staging_emptied,
+    "audit_columns": audit_columns,
     "stream_daily": stream_daily,
     "stream_daily_late": stream_daily_late,
     "stream_unique": stream_unique,

@@ -933,6 +933,26 @@ scored AS (
 SELECT * FROM scored WHERE score > 1.5""",
     "author_features": f"WITH {FACT_SALES}\n{AUTHOR_FEATURES}",
     "kmeans_segments": kmeans(4, 20),
+    "exchange_rates_loaded": """WITH given AS (
+  SELECT CASE left(o_orderpriority, 1) WHEN '1' THEN 'USD' WHEN '2' THEN 'EUR' WHEN '3' THEN 'GBP' ELSE 'XXX' END AS from_code,
+         CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS day,
+         (CAST(o_totalprice AS DECIMAL(12,2)) - 30000) * 3 AS rate, o_orderkey % 2 AS turn FROM orders
+), tagged AS (
+  SELECT *, CASE WHEN from_code = 'XXX' THEN 'UNKNOWN_FROM_CURRENCY' WHEN day IS NULL THEN 'NO_DATE'
+                 WHEN rate >= 1000000 THEN 'RATE_DOES_NOT_FIT' WHEN rate <= 0 THEN 'RATE_NOT_POSITIVE' END AS reason
+  FROM given
+), stored AS (
+  SELECT from_code, day, arg_max(rate, {'turn': turn, 'rate': rate}) AS rate FROM tagged WHERE reason IS NULL GROUP BY 1, 2
+)
+SELECT 'STORED' AS outcome, from_code, CAST(year(day) AS INTEGER) AS year, count(*) AS n_rows, CAST(sum(rate) AS DOUBLE) AS total
+FROM stored GROUP BY ALL
+UNION ALL SELECT reason, from_code, CAST(year(day) AS INTEGER), count(*), CAST(sum(rate) AS DOUBLE)
+FROM tagged WHERE reason IS NOT NULL GROUP BY ALL""",
+    "staging_emptied": f"""WITH {STAGED_SALES}
+SELECT strftime(date_parsed, '%Y-%m') AS month, count(*) AS n_rows, count(*) AS n_ids, true AS ids_go_on, 'COMPLETED' AS emptied
+FROM staged_sales WHERE date_parsed >= DATE '1998-07-01' GROUP BY 1""",
+    "audit_columns": f"""SELECT is_current, record_version, count(*) AS n_rows, count(*) AS n_made, count(*) FILTER (is_current = 'N') AS n_changed
+FROM ({MERGE}) GROUP BY 1, 2""",
     "trend_forecast": FORECAST,
     "dc_percentile": f"""{Q6_BASE},
 placed AS (
