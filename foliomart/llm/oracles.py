@@ -115,7 +115,7 @@ FROM u LEFT JOIN f USING (n)
 
 
 OP5 = rf"""
-WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 w AS (
   SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM (SELECT doc_id, {_words("text")} AS ws FROM d)
 ), tri AS (
@@ -137,14 +137,45 @@ l AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE norm <> '' GROUP BY doc_id
 ), near AS (
   SELECT *, coalesce(lag(norm) OVER o, chr(31)) AS before, coalesce(lead(norm) OVER o, chr(31)) AS after FROM l
-  WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+  WHERE norm <> '' WINDOW o AS (PARTITION BY doc_id ORDER BY i)
 ), often AS (SELECT host, norm FROM l WHERE norm <> '' GROUP BY host, norm HAVING count(DISTINCT doc_id) > 10),
 side AS (
-  SELECT host, norm, 'b' AS side, before AS next, count(*) AS n FROM near JOIN often USING (host, norm) GROUP BY ALL
-  UNION ALL SELECT host, norm, 'a', after, count(*) FROM near JOIN often USING (host, norm) GROUP BY ALL
+  SELECT host, norm, 'b' AS side, before AS next, count(DISTINCT doc_id) AS n FROM near JOIN often USING (host, norm) GROUP BY ALL
+  UNION ALL SELECT host, norm, 'a', after, count(DISTINCT doc_id) FROM near JOIN often USING (host, norm) GROUP BY ALL
+), flag AS (
+  SELECT host, norm, bool_and(fixed) FILTER (side = 'b') AS fixed_before, bool_and(fixed) FILTER (side = 'a') AS fixed_after,
+    bool_and(line) FILTER (side = 'b') AS line_before, bool_and(line) FILTER (side = 'a') AS line_after
+  FROM (SELECT host, norm, side, 2 * max(n) >= sum(n) AS fixed,
+      coalesce(2 * max(n) FILTER (next <> chr(31)) >= sum(n), false) AS line FROM side GROUP BY ALL) GROUP BY ALL
+), whose AS (
+  SELECT DISTINCT host, norm, doc_id FROM near JOIN flag USING (host, norm) WHERE fixed_before AND fixed_after
+), own AS (
+  SELECT doc_id, norm, fixed_before, last_value(line_after IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i) AS above,
+    last_value(line_before IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i DESC) AS below
+  FROM near LEFT JOIN flag USING (host, norm) WHERE doc_id IN (SELECT doc_id FROM whose)
+), said AS (
+  SELECT doc_id, string_agg(norm, chr(10) ORDER BY norm) AS said FROM own
+  WHERE fixed_before IS NULL AND NOT coalesce(above, false) AND NOT coalesce(below, false) GROUP BY doc_id
+), silent AS (
+  SELECT doc_id, list(word ORDER BY i) AS w FROM (
+    SELECT doc_id, i, translate(word, '{_UPPER}', '{_LOWER}') AS word FROM w
+    WHERE doc_id IN (SELECT doc_id FROM whose) AND doc_id NOT IN (SELECT doc_id FROM said)) GROUP BY doc_id
+), same AS (SELECT *, min(doc_id) OVER (PARTITION BY w) AS alike FROM silent),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM same WHERE doc_id = alike)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+link AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n u ON u.doc_id = a JOIN n v ON v.doc_id = b WHERE 100 * k >= 80 * (u.n + v.n - k)
+), reach AS (
+  SELECT a AS doc_id, b AS other FROM link UNION SELECT r.doc_id, e.b FROM reach r JOIN link e ON r.other = e.a
+), told AS (
+  SELECT doc_id, said AS as_text, NULL AS as_copy FROM said
+  UNION ALL SELECT same.doc_id, NULL, least(alike, min(other)) FROM same LEFT JOIN reach ON reach.doc_id = alike GROUP BY same.doc_id, alike
 ), bad AS (
-  SELECT host, norm FROM (SELECT host, norm, side, max(n) AS most, sum(n) AS every FROM side GROUP BY ALL)
-  GROUP BY host, norm HAVING bool_or(2 * most < every)
+  SELECT host, norm FROM flag WHERE NOT (fixed_before AND fixed_after)
+  UNION ALL SELECT host, norm FROM whose JOIN told USING (doc_id) GROUP BY host, norm HAVING count(DISTINCT (as_text, as_copy)) > 10
 ), gone AS (SELECT doc_id, sum(n) AS gone FROM l JOIN bad USING (host, norm) GROUP BY doc_id),
 m AS (
   SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,

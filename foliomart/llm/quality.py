@@ -2,15 +2,18 @@
 
 A line is normalised (white space collapsed, A-Z lower-cased, digits as 0) and hashed. For each host
 (any column; null is a host of its own) the distinct documents that hold a line are counted. A line
-above the limit is removed, unless it belongs to copies of a few texts: these are the business of the
-duplicate stages, and removing their lines would reject every copy. It does if in at least half of its
-documents it stands between the same lines (blank ones aside), and if its documents are not more texts
-than the limit, those that the duplicate stage would join (whole texts, five-word shingles, similarity
-0.8) being one text. A document is rejected if a rule on its own text fails or if too few words are left
-(depleted).
+above the limit is removed however much of a page it fills, unless it belongs to copies of a few texts:
+these are the business of the duplicate stages, and removing their lines would reject every copy. It
+does if in at least half of its documents it stands between the same lines (blank ones aside), and if
+its documents are not more texts than the limit. The text of a document is what it says beside lines
+above the limit: its other lines, in any order. Left out of it are runs of lines in the place of
+lines above the limit (one that adjoins the run has a fixed line on that side), as edited copies have
+them. Documents that say nothing else are told apart as the duplicate stage would: whole texts joined
+by five-word shingles and a similarity of 0.8 are one. A document is rejected if a rule on its own text
+fails or if too few words are left (depleted).
 
 Null text counts as empty; an empty document has no words and fails the word minimum. Repeated rows
-of one doc_id count as one document. Rows keep their columns; the names added here are replaced if
+of one doc_id count as one document, rows without one by their texts. Rows keep their columns; the names added here are replaced if
 present. An empty table gives an empty result.
 """
 
@@ -21,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,19 +142,20 @@ _ARROW = {
 
 
 def boilerplate(
-    measured: DataFrame, texts: DataFrame, host: str, max_docs: int, doc_id: str = "doc_id"
+    measured: DataFrame, texts: DataFrame, host: str, max_docs: int
 ) -> DataFrame:
     """(host, line) of the lines above the limit that do not belong to copies of a few texts.
 
-    ``texts``: the whole texts as (doc, text), ``doc`` being the 64-bit hash of the id. Documents are
-    counted by map-side sums; only documents with a frequent line in fixed surroundings are told apart
-    as texts. A copy in which a neighbour was changed keeps the line's other copies together, hence half
-    of them is enough for the surroundings.
+    ``measured`` has columns ``_doc`` (64-bit hash of the document) and ``_row``; ``texts``: the whole texts as
+    (doc, text). Documents are counted by map-side sums; only documents with a frequent line in fixed
+    surroundings are told apart as texts. A copy in which a neighbour was changed keeps the line's other
+    copies together, hence half of them is enough for the surroundings.
     """
-    lines = measured.select(
+    placed = measured.select(
         F.coalesce(F.concat(F.lit("s"), F.col(host).cast("string")), F.lit("n")).alias("host"),
-        F.xxhash64(doc_id).alias("doc"), F.filter("line_hash", lambda h: h != 0).alias("full"),
-    ).select(
+        F.col("_doc").alias("doc"), F.col("_row").alias("row"), F.filter("line_hash", lambda h: h != 0).alias("full"),
+    )
+    lines = placed.select(
         "host", "doc",
         F.inline(
             F.array_distinct(F.transform(
@@ -167,6 +171,7 @@ def boilerplate(
     often = stored(_held_by_more(lines, "doc", max_docs), "often")
     held = stored(lines.join(often, ["host", "line"]).select("host", "line", "doc", "before", "after"), "held")
     dropped(often)
+    fixed_side, fixed_line = F.col("most") * 2 >= F.col("all"), F.coalesce(F.col("most_line") * 2 >= F.col("all"), F.lit(False))
     sides = (
         held.select("host", "line", "doc", F.explode(F.array(
             F.struct(F.lit("b").alias("side"), F.col("before").alias("next")),
@@ -174,24 +179,53 @@ def boilerplate(
         )).alias("x"))
         .groupBy("host", "line", "x.side", "x.next", "doc").agg(F.lit(1).alias("one"))
         .groupBy("host", "line", "side", "next").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("host", "line", "side").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
-        .groupBy("host", "line").agg(F.max(F.col("most") * 2 < F.col("all")).alias("varied"))
+        .groupBy("host", "line", "side").agg(
+            F.max("n").alias("most"), F.max(F.when(F.col("next") != -1, F.col("n"))).alias("most_line"), F.sum("n").alias("all"))
+        .groupBy("host", "line").agg(
+            F.max(F.when(F.col("side") == "b", fixed_side)).alias("fixed_before"),
+            F.max(F.when(F.col("side") == "a", fixed_side)).alias("fixed_after"),
+            F.max(F.when(F.col("side") == "b", fixed_line)).alias("line_before"),
+            F.max(F.when(F.col("side") == "a", fixed_line)).alias("line_after"))
     )
     sides = stored(sides, "sides")
-    varied = sides.where("varied").select("host", "line")
-    fixed = sides.where("NOT varied").select("host", "line")
+    varied = sides.where("NOT (fixed_before AND fixed_after)").select("host", "line")
+    fixed = sides.where("fixed_before AND fixed_after").select("host", "line")
     if fixed.isEmpty():
         dropped(held)
         return varied
     whose = stored(held.join(fixed, ["host", "line"]).select("host", "line", "doc").distinct(), "whose")
     dropped(held)
-    named = neardup.named(texts, "doc", "text", among=whose.select("doc").distinct())
-    apart = _held_by_more(whose.join(named.select("doc", "component_id"), "doc"), "component_id", max_docs)
+    holders = whose.select("doc").distinct()
+    said = stored(_said(placed.join(holders, "doc", "left_semi"), sides), "said")
+    silent = holders.join(said, "doc", "left_anti")
+    named = neardup.named(texts, "doc", "text", among=silent)
+    told = said.unionByName(named.select("doc", F.xxhash64(F.lit("copies of"), "component_id").alias("said")))
+    apart = _held_by_more(whose.join(told, "doc"), "said", max_docs)
     found = stored(varied.unionByName(apart), "boilerplate")
-    dropped(whose, sides)
+    dropped(whose, sides, said)
     return found
 
 
+def _said(placed: DataFrame, sides: DataFrame) -> DataFrame:
+    """(doc, said): hash of what a document says beside frequent lines and edits of them; no row if nothing.
+
+    A window holds the lines of one row of the input.
+    """
+    each = placed.select("host", "doc", "row", F.posexplode("full").alias("place", "line"))
+    each = each.join(sides, ["host", "line"], "left")
+    down, up = Window.partitionBy("row").orderBy("place"), Window.partitionBy("row").orderBy(F.desc("place"))
+    own = (
+        each.withColumn("above", F.last("line_after", True).over(down))
+        .withColumn("below", F.last("line_before", True).over(up))
+        .where("fixed_before IS NULL AND NOT coalesce(above, false) AND NOT coalesce(below, false)")
+    )
+    total = F.sum(F.col("line").cast("decimal(20,0)"))
+    return (
+        own.groupBy("row", "doc").agg(F.xxhash64(F.lit("says"), total, F.count(F.lit(1))).alias("said"))
+        .groupBy("doc").agg(F.min("said").alias("said"))
+    )
+
+
 def _held_by_more(lines: DataFrame, by: str, limit: int) -> DataFrame:
     """(host, line) with more than ``limit`` distinct values of ``by``."""
     return (
@@ -213,15 +247,16 @@ def judge(
     spark = docs.sparkSession
     added = {"_row", "_host", "_doc", "removed_lines", "left_words", "kept", *MEASURES.names}
     docs = docs.select([c for c in docs.columns if c not in added])
+    key = F.when(F.col(doc_id).isNull(), F.xxhash64(F.lit("text"), text)).otherwise(F.xxhash64(doc_id))
     rows = docs.select(
-        *docs.columns, F.col(host).alias("_host"), F.col(doc_id).alias("_doc"), F.monotonically_increasing_id().alias("_row")
+        *docs.columns, F.col(host).alias("_host"), key.alias("_doc"), F.monotonically_increasing_id().alias("_row")
     )
     measured = measure(rows, text, min_words, most_repeated)
     if carry is not None:
         measured = measured.select(*carry, "_host", "_doc", "_row", *MEASURES.names)
     measured = stored(measured, "measured")
-    texts = docs.select(F.xxhash64(doc_id).alias("doc"), F.col(text).alias("text"))
-    bad = boilerplate(measured, texts, "_host", max_docs, "_doc")
+    texts = docs.select(key.alias("doc"), F.col(text).alias("text"))
+    bad = boilerplate(measured, texts, "_host", max_docs)
     lines = measured.select(
         "_row",
         F.coalesce(F.concat(F.lit("s"), F.col("_host").cast("string")), F.lit("n")).alias("host"),

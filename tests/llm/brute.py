@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from itertools import groupby
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -131,22 +132,41 @@ def targets(sizes, weights=(1, 2, 3), most=3):
     return got
 
 
+def _said(lines):
+    """The own lines (bytes) of runs that adjoin no fixed side of a frequent line ([before, after] is a line)."""
+    own = []
+    for frequent, run in groupby(lines, key=lambda x: isinstance(x, list)):
+        own.append((frequent, list(run)))
+    said = []
+    for i, (frequent, run) in enumerate(own):
+        above = i > 0 and own[i - 1][1][-1][1]
+        below = i + 1 < len(own) and own[i + 1][1][0][0]
+        if not frequent and not above and not below:
+            said += run
+    return tuple(sorted(said))
+
+
 def op5_verdict(rows, max_docs=10):
     """{doc_id: (kept, text without boilerplate)} for rows (doc_id, text, source) with distinct doc_ids."""
     up, low = "ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789", "abcdefghijklmnopqrstuvwxyz000000000"
     table = str.maketrans(up, low)
     norm = {d: [b" ".join(words(line.translate(table))) for line in (t or "").split("\n")] for d, t, _ in rows}
-    held, around = defaultdict(set), defaultdict(lambda: (Counter(), Counter()))
+    held, around = defaultdict(set), defaultdict(lambda: (set(), set()))
     for d, _, s in rows:
-        for i, line in enumerate(norm[d]):
-            if line:
-                held[s, line].add(d)
-                around[s, line][0][norm[d][i - 1] if i else None] += 1
-                around[s, line][1][norm[d][i + 1] if i + 1 < len(norm[d]) else None] += 1
-    bad = {
-        k for k, docs in held.items()
-        if len(docs) > max_docs and any(2 * max(c.values()) < sum(c.values()) for c in around[k])
-    }
+        full = [None, *filter(None, norm[d]), None]
+        for i in range(1, len(full) - 1):
+            held[s, full[i]].add(d)
+            for side, j in ((0, i - 1), (1, i + 1)):
+                around[s, full[i]][side].add((d, full[j]))
+    fixed, lined = {}, {}
+    for k, docs in held.items():
+        if len(docs) > max_docs:
+            counts = [Counter(x for _, x in side) for side in around[k]]
+            fixed[k] = [2 * max(c.values()) >= sum(c.values()) for c in counts]
+            lined[k] = [any(2 * n >= sum(c.values()) for x, n in c.items() if x) for c in counts]
+    component = {r[0]: r[2] for r in op9([(d, t) for d, t, _ in rows], 5)}
+    told = {d: _said([lined.get((s, x), x) for x in norm[d] if x]) or component[d] for d, _, s in rows}
+    bad = {k for k, sides in fixed.items() if not all(sides) or len({told[d] for d in held[k]}) > max_docs}
     base = {r[0]: r for r in op5_base([(d, t) for d, t, _ in rows])}
     out = {}
     for d, t, s in rows:

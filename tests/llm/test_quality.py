@@ -83,3 +83,53 @@ def test_lines_go_wherever_they_stand(spark):
     own = [prose(rnd, 60) for _ in range(1000)]
     judged = quality.judge(frame(spark, [f"{t}\n{foot}" for t in own]))
     assert judged.where("kept AND removed_lines = array(1, 2, 3, 4, 5) AND left_words = 60").count() == 1000
+
+
+def same_as_brute(spark, texts):
+    """Verdicts and texts left for (text, source) pairs."""
+    rows = [(i, t, s) for i, (t, s) in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {r["doc_id"]: (r["kept"], r["text"]) for r in _verdicts(df)}
+    assert found == {d: (k, t if k else None) for d, (k, t) in brute.op5_verdict(rows).items()}
+    return found
+
+
+def _verdicts(df):
+    judged = quality.judge(df)
+    left = quality.cleaned(judged).select("doc_id", "text")
+    return judged.select("doc_id", "kept").join(left, "doc_id", "left").collect()
+
+
+def test_a_block_goes_however_much_of_the_page_it_fills(spark):
+    """A fixed block of 240 words under 200 pages each with 110, 40, 20 and 12 words of their own."""
+    rnd = random.Random(8)
+    block = "\n".join(prose(rnd, 12) for _ in range(20))
+    texts = []
+    for n in (110, 40, 20, 12):
+        own = [prose(rnd, n) for _ in range(200)]
+        texts += [(f"{x}\n{block}" if i % 2 else f"{block}\n\n{x}", str(n)) for i, x in enumerate(own)]
+    found = same_as_brute(spark, texts)
+    assert all(found[i][0] == (i < 200) for i in range(800)) and all(block not in found[i][1] for i in range(200))
+
+
+def test_copies_and_their_edits_stay_beside_other_pages(spark):
+    """Exact and near copies of one text, among them some with three changed lines on end, and a common footer."""
+    rnd = random.Random(9)
+    lines = [prose(rnd, 14) for _ in range(12)]
+    foot = "the one footer of the site\nand its second line"
+    texts = ["\n".join(lines)] * 15
+    for _ in range(45):
+        x, at, n = list(lines), rnd.randrange(10), rnd.randint(1, 3)
+        x[at : at + n] = [line.replace(" ", f" edit{chr(97 + rnd.randrange(26))}{rnd.randrange(10**6)} ", 1) for line in x[at : at + n]]
+        texts.append("\n".join(x))
+    texts += [f"{prose(rnd, 70)}\n{foot}" for _ in range(40)]
+    found = same_as_brute(spark, [(t, "s") for t in texts])
+    assert all(k for k, _ in found.values()) and all(found[i][1] == texts[i] for i in range(60))
+    assert all("footer" not in found[i][1] for i in range(60, 100))
+
+
+def test_rows_without_an_id_are_told_apart_by_text(spark):
+    texts = [page(i) + "\nthe very same line\n" + page(i + 500) for i in range(24)]
+    df = frame(spark, texts).withColumn("doc_id", F.lit(None).cast("long"))
+    assert quality.judge(df).where("left_words = 120").count() == 24
+    assert quality.judge(frame(spark, [texts[0]] * 24).withColumn("doc_id", F.lit(None).cast("long"))).where("left_words = 124").count() == 24
