@@ -10,7 +10,8 @@ lead nowhere and are left out.
 Postings are not joined with themselves. The member of a posting whose postings are most frequent is
 its hub (in a group of edited copies this is the text they derive from), and the postings of one hub
 are merged. Members are verified on full shingle sets, first against the hub, then those that did not
-join it against the others, skipping pairs already connected. So each group gives at most one link per
+join it against the others, by merging the posting lists of their coordinates and shingles and skipping
+pairs already connected. So each group gives at most one link per
 member. A hub's members are dealt to parts of bounded size; members that did not join the hub are also
 compared with the other parts, in chunks of bounded size. Links are confirmed exactly, and classes connected through links share
 the smallest doc_id as component.
@@ -139,33 +140,93 @@ def jaccard_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+class Lists:
+    """Posting lists of a part's tokens; lists with the same members are one list with a weight.
+
+    Pages of one template share most of their shingles, so their long lists shrink to a few.
+    """
+
+    LONG = 64
+    CELLS = 1 << 22
+
+    def __init__(self, tokens: list[np.ndarray]):
+        self.n = len(tokens)
+        member = np.repeat(np.arange(self.n), [len(x) for x in tokens])
+        flat = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
+        order = np.argsort(flat, kind="stable")
+        flat, member = flat[order], member[order]
+        begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
+        count = np.diff(np.append(begin, len(flat)))
+        named = np.add.reduceat(mixed(member.astype(np.uint64) + np.uint64(1)), begin) if len(flat) else flat
+        shared = np.flatnonzero(count > 1)
+        _, one, weight = np.unique(named[shared], return_index=True, return_counts=True)
+        begin, count = begin[shared[one]], count[shared[one]]
+        self.short = self._kept(member, begin, count, weight, count <= self.LONG)
+        self.long = self._kept(member, begin, count, weight, count > self.LONG)
+
+    @staticmethod
+    def _kept(member, begin, count, weight, these):
+        """(members list by list, list of each, begin and count of each list, weights)."""
+        begin, count = begin[these], count[these]
+        flat = member[_ranges(begin, count)]
+        return flat, np.repeat(np.arange(len(count)), count), np.cumsum(count) - count, count, weight[these]
+
+    def overlaps(self, rows: np.ndarray) -> np.ndarray:
+        """How many tokens each of ``rows`` has in common with each member."""
+        member, which, begin, count, weight = self.short
+        place = np.full(self.n, -1)
+        place[rows] = np.arange(len(rows))
+        asked = np.flatnonzero(place[member] >= 0)
+        lists = which[asked]
+        cell = np.repeat(place[member[asked]] * self.n, count[lists]) + member[_ranges(begin[lists], count[lists])]
+        out = np.bincount(cell, np.repeat(weight[lists], count[lists]), len(rows) * self.n).reshape(len(rows), self.n)
+        member, which, begin, count, weight = self.long
+        width = max(1, self.CELLS // max(1, self.n))
+        for a in range(0, len(count), width):
+            own = slice(begin[a], begin[a] + count[a : a + width].sum())
+            held = np.zeros((self.n, len(count[a : a + width])), np.float32)
+            held[member[own], which[own] - a] = 1
+            out += (held[rows] * weight[a : a + width].astype(np.float32)) @ held.T
+        return np.rint(out).astype(np.int64)
+
+
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... of each range, one after another."""
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
 def links_inside(ids: list[int], sets: list[np.ndarray], sigs: np.ndarray, first: int, percent: int,
                  also: set[int] | None = None) -> tuple[list[tuple[int, int]], set[int]]:
     """Links that connect whatever confirmed pairs connect, and the places that joined ``first``.
 
-    ``also``: compare these places with all others only.
+    All are compared with ``first``, then those that did not join it with all; with ``also`` only these
+    places with all. Collisions and common shingles of many pairs are counted at once from posting lists.
     """
-    root = list(range(len(ids)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+    label = np.arange(len(ids))
     links = []
-    order = [first] + [i for i in range(len(ids)) if i != first]
-    if also is not None:
-        order = sorted(also)
-    met = np.zeros(len(ids), bool)
-    for i in order:
-        met[i] = True
-        same = np.count_nonzero(sigs == sigs[i], axis=1)
-        for j in np.flatnonzero((same >= MATCHES) & ~met).tolist():
-            if find(i) != find(j) and jaccard_at_least(sets[i], sets[j], percent):
-                root[find(i)] = find(j)
+
+    def joined(i: int, places: np.ndarray) -> None:
+        for j in places[label[places] != label[i]].tolist():
+            if label[i] != label[j] and jaccard_at_least(sets[i], sets[j], percent):
+                label[label == label[j]] = label[i]
                 links.append((ids[i], ids[j]))
-    return links, {i for i in range(len(ids)) if find(i) == find(first)}
+
+    if also is None:
+        joined(first, np.flatnonzero(np.count_nonzero(sigs == sigs[first], axis=1) >= MATCHES))
+        rest = np.flatnonzero(label != label[first])
+    else:
+        rest = np.array(sorted(also), np.int64)
+    if len(rest):
+        postings = Lists(list(mixed(sigs.astype(np.uint64) | _PLACE[None, :])))
+        common = Lists(sets)
+        size = np.array([len(x) for x in sets])
+        for a in range(0, len(rest), 256):
+            rows = rest[a : a + 256]
+            both = common.overlaps(rows)
+            near = (postings.overlaps(rows) >= MATCHES) & (100 * both >= percent * (size[rows][:, None] + size - both))
+            for i, row in zip(rows.tolist(), near):
+                joined(i, np.flatnonzero(row))
+    return links, set(np.flatnonzero(label == label[first]).tolist())
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -58,6 +59,34 @@ def test_links_inside_connect_what_pairs_connect():
                 assert root[a] == root[b]
 
 
+def test_lists_count_what_sets_share(monkeypatch):
+    """Short and long lists, lists of the same members, more long lists than a chunk holds."""
+    monkeypatch.setattr(neardup.Lists, "CELLS", 400)
+    rnd = np.random.default_rng(3)
+    template = np.arange(10**6, 10**6 + 300)
+    sets = [np.unique(np.r_[rnd.integers(0, 900, 200), template[: 300 - i % 4]]).astype(np.uint64) for i in range(150)]
+    rows = np.array([3, 0, 77, 149])
+    assert neardup.Lists(sets).overlaps(rows).tolist() == [[len(np.intersect1d(sets[i], x)) for x in sets] for i in rows]
+    assert neardup.Lists([sets[0][:0], sets[0]]).overlaps(np.array([0, 1])).tolist() == [[0, 0], [0, 0]]
+
+
+def test_pages_of_one_template_are_compared_at_once():
+    """1,500 pages at 0.65 (candidates that do not link), and pairs of near copies among them."""
+    rnd = random.Random(12)
+    template = prose(rnd, 190)
+    texts = [f"{template} {' '.join(f'own{rnd.randrange(10**9)}' for _ in range(50))}" for _ in range(1500)]
+    for i in range(100, 1500, 100):
+        texts[i] = edited(rnd, texts[i - 1], 0.01)
+    words, off = word_hashes([t.encode() for t in texts])
+    sets = [shingles(words[off[i] : off[i + 1]], 4) for i in range(len(texts))]
+    sigs = np.stack([neardup.signature(s) for s in sets])
+    begin = time.process_time()
+    links, _ = neardup.links_inside(list(range(1500)), sets, sigs, 0, 80)
+    assert time.process_time() - begin < 8
+    want = {(i - 1, i) for i in range(100, 1500, 100) if neardup.jaccard_at_least(sets[i - 1], sets[i], 80)}
+    assert want and {tuple(sorted(x)) for x in links} == want
+
+
 def test_nulls_and_extra_columns(spark, got):
     rows = [(None, "a b c d e"), (4, "a b c d e"), (4, "a b c d e"), (6, "A b  c\td e"), (8, None)]
     df = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, node int, kept int")
