@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from foliomart.llm.stages import dropped, stored
+from foliomart.llm.stages import dropped, stored, unused
 
 RANGES = 1024
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -117,9 +117,10 @@ def mix(
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The documents of the mix: a row per copy, with the columns of ``docs``."""
     spark = docs.sparkSession
-    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "unmixed")
-    copies = mix(rows, keep=("_row",), **options).where("copies > 0").select("_row", F.col("copies").cast("int").alias("_copies"))
+    row, times, copy = (unused(name, docs.columns) for name in ("_row", "_copies", "_copy"))
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "unmixed")
+    copies = mix(rows, keep=(row,), **options).where("copies > 0").select(row, F.col("copies").cast("int").alias(times))
     return (
-        rows.join(copies, "_row").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+        rows.join(copies, row).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times))))
         .select(docs.columns)
     )

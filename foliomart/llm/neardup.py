@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from foliomart.llm import exchange
 from foliomart.llm.components import components
 from foliomart.llm.texts import encoded, mixed, shingles, slices, word_hashes
-from foliomart.llm.stages import dropped, stored
+from foliomart.llm.stages import dropped, stored, unused
 
 M = 64
 MATCHES = 36
@@ -362,9 +362,10 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, n: in
 def _attached(docs: DataFrame, found: DataFrame, doc_id: str) -> DataFrame:
     """Each row of ``docs`` with its document's result; rows without a doc_id are kept."""
     names = docs.columns
-    found = found.where("doc IS NOT NULL").select(F.col("doc").alias("_doc"), "n_shingles", "component_id")
-    joined = docs.withColumn("_doc", F.col(doc_id).cast("long")).join(found, "_doc", "left")
+    doc = unused("_doc", names)
+    found = found.where("doc IS NOT NULL").select(F.col("doc").alias(doc), "n_shingles", "component_id")
+    joined = docs.withColumn(doc, F.col(doc_id).cast("long")).join(found, doc, "left")
     return joined.select(
         *names, F.coalesce("n_shingles", F.lit(0)).alias("n_shingles"), F.col("component_id").cast("long").alias("component_id"),
-        F.coalesce(F.col("component_id") == F.col("_doc"), F.lit(True)).alias("kept"),
+        F.coalesce(F.col("component_id") == F.col(doc), F.lit(True)).alias("kept"),
     )

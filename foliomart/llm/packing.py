@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from foliomart.llm.texts import Words, encoded, slices
-from foliomart.llm.stages import stored
+from foliomart.llm.stages import stored, unused
 
 CAPACITY = 2048
 END = 0
@@ -176,7 +176,8 @@ def encoder(path: str) -> Encoder:
 def pieces(docs: DataFrame, vocabulary: str, text: str = "text", capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
     """``docs`` without the text, a row per piece; ``chunk`` and ``rank`` number pieces of one length."""
     kept = [c for c in docs.columns if c != text and c not in PIECES.names]
-    rows = docs.select(F.col(text).alias("_text"), *kept, F.monotonically_increasing_id().alias("_row"))
+    rows = docs.select(
+        F.col(text).alias(unused("_text", kept)), *kept, F.monotonically_increasing_id().alias(unused("_row", kept)))
     schema = T.StructType([docs.schema[c] for c in kept] + PIECES.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -303,8 +304,9 @@ def pack(
         at.setdefault(length, []).append((rank, first, each, offset))
     shared = spark.sparkContext.broadcast({k: np.array(v, np.int64).T.copy() for k, v in at.items()})
     before = F.sum("n").over(W.partitionBy("length").orderBy("chunk").rowsBetween(W.unboundedPreceding, -1))
-    shift = held.select("chunk", "length", F.coalesce(before, F.lit(0)).alias("shift"))
-    ranked = cut.join(shift, ["chunk", "length"]).withColumn("rank", F.col("rank") + F.col("shift")).drop("shift", "chunk")
+    more = unused("shift", cut.columns)
+    shift = held.select("chunk", "length", F.coalesce(before, F.lit(0)).alias(more))
+    ranked = cut.join(shift, ["chunk", "length"]).withColumn("rank", F.col("rank") + F.col(more)).drop(more, "chunk")
     names = [c for c in cut.columns if c not in ("chunk", "rank")]
     ranked = ranked.select(*names, "rank")
     schema = T.StructType(

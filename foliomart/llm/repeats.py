@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 from foliomart.llm import exchange
 from foliomart.llm.texts import encoded, mixed, slices
-from foliomart.llm.stages import dropped, stored
+from foliomart.llm.stages import dropped, stored, unused
 
 LENGTH = 50
 GRAM = 20
@@ -125,13 +125,13 @@ class Block:
 
     def __init__(self, payload):
         self.table = pa.ipc.open_stream(payload).read_all()
-        texts = encoded(self.table["_text"].combine_chunks())
+        texts = encoded(self.table.column(1).combine_chunks())
         self.raw = b"".join(texts)
         self.data = np.frombuffer(self.raw, np.uint8)
         size = np.fromiter(map(len, texts), np.int64, len(texts))
         self.ends = np.cumsum(size)
         self.begins = self.ends - size
-        ids = self.table["_doc"].combine_chunks()
+        ids = self.table.column(0).combine_chunks()
         self.ids = np.asarray(ids.fill_null(int(_NONE)), np.int64)
 
     def runs(self, length: int):
@@ -139,11 +139,11 @@ class Block:
 
 
 def pack(docs: DataFrame, doc_id: str, text: str, length: int) -> DataFrame:
-    """Blocks of documents with all their columns; ``_doc`` and ``_text`` are the ones to work on."""
+    """Blocks of documents with all their columns; the first two are the id and the text to work on."""
     names = docs.columns
+    others = [c for c in names if c not in (doc_id, text)]
     rest = docs.select(
-        F.col(doc_id).cast("long").alias("_doc"), F.col(text).alias("_text"),
-        *[F.col(c) for c in names if c not in (doc_id, text)],
+        F.col(doc_id).cast("long").alias(unused("_doc", others)), F.col(text).alias(unused("_text", others)), *others
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -594,7 +594,7 @@ def remove_repeats(
                 rows["n_spans"].append(int(np.count_nonzero(cut[1:] & ~cut[:-1])) + int(b > a and cut[0]))
                 rows["kept_sha256"].append(hashlib.sha256(block.data[a:b][~cut].tobytes()).hexdigest())
                 rows["kept_text"].append(block.data[a:b][~whole[a:b]].tobytes().decode("utf-8", "replace") if texts else None)
-            columns = {c: block.table[{doc_id: "_doc", text: "_text"}.get(c, c)] for c in names}
+            columns = {c: block.table.column({doc_id: 0, text: 1}.get(c, c)) for c in names}
             parts.append(pa.table(columns | {k: pa.array(v, pa.string() if k.startswith("kept") else pa.int64()) for k, v in rows.items()}))
         return pa.concat_tables(parts)
 

@@ -34,6 +34,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return made
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, lengthened until no column has it (Spark does not tell case apart)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def dropped(*frames: DataFrame) -> None:
     """Delete stored tables that nothing reads any more."""
     for frame in frames:
