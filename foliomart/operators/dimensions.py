@@ -29,10 +29,15 @@ HOME_COUNTRY = "UK"
 
 
 def _distinct(meta: DataFrame, key: str, columns: dict[str, Column]) -> DataFrame:
-    """One row per natural key; of several variants the smallest, so reruns agree."""
+    """One row per natural key; of several variants the smallest, so reruns agree.
+
+    Equal rows are made one by hash first: the minimum of texts is found by sorting, and a meta extract repeats
+    a member on many rows. The filter on the count keeps Spark from taking that step out again.
+    """
     named = meta.select(*[c.alias(name) for name, c in columns.items()]).filter(F.col(key).isNotNull())
     rest = [c for c in columns if c != key]
-    return named.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, "_r.*")
+    once = named.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 0)
+    return once.groupBy(key).agg(F.min(F.struct(*rest)).alias("_r")).select(key, "_r.*")
 
 
 def author_rows(meta: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from foliomart.operators import keys
+from foliomart.operators import dimensions as dims
+from foliomart.operators import keys, lookups
 from foliomart.operators.keys import assign_keys, first_valid
 from foliomart.operators.scd2 import as_of_versions, scd2_history, scd2_merge
 
@@ -130,3 +131,25 @@ def test_history_against_brute_force(spark):
     for n in (0, 12, 24):
         held = as_of_versions(made, F.lit(days(n)))
         assert held.groupBy("k").count().filter("count > 1").count() == 0
+
+
+def test_equal_meta_rows_are_made_one_before_they_are_sorted(spark, frame):
+    meta = frame(
+        "station_id string, station_name string, station_region string, station_mgr string, station_address string",
+        *[(f"S{i % 2}", "Hall" if i % 4 else "Yard", "West", None, "1 High Street, E1 8ZA") for i in range(40)], (None, "x", "x", "x", "x"),
+    )
+    rows = dims.dc_rows(meta)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    # the hash aggregate lies below the sorting one, so it comes last
+    assert plan.rindex("HashAggregate(") > plan.rindex("SortAggregate(")
+    assert {(r["station_code"], r["station_name"], r["postcode"]) for r in rows.collect()} == {("S0", "Hall", "E1 8ZA"), ("S1", "Hall", "E1 8ZA")}
+
+
+def test_many_keys_are_not_matched_beforehand(frame, monkeypatch):
+    large = frame("k int, v int", *[(i, i) for i in range(9)])
+    asked = frame("k int", (1,), (1,), (2,), (None,))
+    assert sorted(r["k"] for r in lookups.matching(large, asked, ["k"]).collect()) == [1, 2]
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 2)
+    made = lookups.matching(large, asked, ["k"])
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString() and made.columns == ["k"]
+    assert large.join(made, "k", "left_semi").count() == 9
