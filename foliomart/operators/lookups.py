@@ -52,12 +52,15 @@ def attach(rows: DataFrame, side: DataFrame, on: list[str], how: str = "left") -
 
 
 def matching(large: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    """Key columns of ``large`` that also occur in ``keys``.
+    """Key columns of ``large``, those that also occur in ``keys`` at least; for a semi or anti join with ``keys``.
 
     A load asks a large fact about the few keys of its batch: those are broadcast if counted
-    small, and the fact is then filtered in place instead of being shuffled.
+    small, and the fact is then filtered in place instead of being shuffled. Many keys would be
+    shuffled once more only to be joined again, so then all rows are left to that join.
     """
-    return large.select(*on).join(sized(keys.select(*on).distinct()), on, "left_semi")
+    if keys.count() > BROADCAST_ROWS:
+        return large.select(*on)
+    return large.select(*on).join(F.broadcast(keys.select(*on).distinct()), on, "left_semi")
 
 
 def current(dim: DataFrame) -> DataFrame:
