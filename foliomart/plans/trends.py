@@ -40,7 +40,8 @@ def outliers(
 ) -> DataFrame:
     """Rows far from their group: beyond ``limit`` deviations, or ``limit`` quartile ranges outside.
 
-    The group figures are one row per group and joined back to the rows.
+    The group figures are one row per group, written, so that their size is known before the rows are joined to
+    them: small ones are broadcast and the fact is not shuffled.
     """
     x = F.col(measure).cast("double")
     if method == "zscore":
@@ -56,7 +57,7 @@ def outliers(
         far = F.col("score") > limit
     else:
         raise ValueError(f"unknown method {method!r}")
-    # one row per group: adaptive execution broadcasts it by the size it turns out to have
+    figures = saved(figures, scratch_path(fact.sparkSession, "figures"))
     return fact.join(figures, by).withColumn("score", score).filter(far).select(*fact.columns, "score")
 
 
