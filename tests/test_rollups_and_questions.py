@@ -306,3 +306,28 @@ def test_vendor_states_keep_the_spread(spark, star, tmp_path):
     costs = [float(r[4]) for r in rows[:60]]
     assert math.isclose(got["V1"]["cost_stddev"], statistics.stdev(costs), rel_tol=1e-9)
     assert (got["V3"]["cost_stddev"], got["V3"]["avg_vendor_score"]) == (0.0, None)
+
+
+@pytest.mark.parametrize("method", ["zscore", "iqr"])
+def test_outliers_do_not_shuffle_the_fact(spark, tmp_path, method):
+    made = spark.range(20_000).selectExpr("id", "cast(id % 3 as int) AS kind", "cast(id * id % 9973 as double) AS x", "sha2(cast(id AS string), 256) AS text")
+    made.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "30k")
+    try:
+        plan = trends.outliers(fact, "kind", "x", method, 0.1)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_a_fact_by_day_is_written_without_a_shuffle(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = spark.range(0, 90, 1, 3).selectExpr("cast(20240101 + 100 * (id div 45) + id % 28 as int) AS time_key", "90 - id AS product_key")
+    write_fact(rows, path, by_day=True)
+    read = spark.read.parquet(path)
+    assert sorted(map(tuple, read.select("time_key", "product_key").collect())) == sorted(map(tuple, rows.collect()))
+    # three parts over two months; a shuffle brings the few rows of a month into one file
+    files = {(r["year_month"], r["f"]) for r in read.select("year_month", F.input_file_name().alias("f")).distinct().collect()}
+    assert sorted(m for m, _ in files) == [202401, 202401, 202402, 202402]
