@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliomart.operators import dimensions as d
-from foliomart.operators import facts, lookups
+from foliomart.operators import facts, keys, lookups
 from foliomart.operators.calendar import calendar
 from foliomart.operators.facts import build_fact_sales, load_summary, type_name_key
 from foliomart.operators.lookups import Star
@@ -113,6 +113,33 @@ def test_rows_are_accounted_for_and_reloads_add_nothing(spark, star):
     assert again.count() == 0 and refused.count() == 40
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_whole_rows_are_shuffled_once(spark, star, monkeypatch, most):
+    """Duplicates are found on keys alone, by broadcast hashes or without; rows meet them where they are numbered."""
+    monkeypatch.setattr(keys, "BROADCAST_HASHES", most)
+    monkeypatch.setattr(facts, "PIECE_ROWS", 30)
+    plans = {}
+    real = keys.saved
+    monkeypatch.setattr(keys, "saved", lambda df, path: (plans.update({path.split("/")[-1]: df}), real(df, path))[1])
+    lines = [sale(f"S{i % 30}", DateStamp=f"2024-05-{1 + i * 7 % 28:02d}", TQty=str(1 + i)) for i in range(100)]
+    rows = staged(spark, SALES_HEADER, lines, "raw_sales").checkpoint()
+    rows = rows.unionByName(rows.filter("tqty = 1"))  # a row that was delivered twice, under one id
+    held = spark.createDataFrame([("S7",), ("S99",)], "sale_number string")
+    fact, refused = build_fact_sales(rows, star, 1, existing=held, first_key=50)
+    best = {}
+    for r in sorted(rows.collect(), key=lambda r: (r["date_parsed"], r["stg_sales_id"])):
+        best.setdefault(r["sale_num"], (r["date_parsed"], r["stg_sales_id"]))
+    first = sorted(v for k, v in best.items() if k != "S7")
+    got = {int(r["source_record_id"]): r["sales_fact_key"] for r in fact.collect()}
+    assert got == {number: 50 + i for i, (_, number) in enumerate(first)}
+    assert sorted(r["stg_sales_id"] for r in refused.filter("reject_reason = 'DUPLICATE'").collect()) == sorted(
+        r["stg_sales_id"] for r in rows.collect() if r["stg_sales_id"] not in got
+    )
+    assert fact.filter("gross_profit_gbp <> net_amount_gbp - total_cost_gbp").count() == 0
+    plan = plans["kept"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "hashpartitioning" not in plan
+
+
 def test_type_names_match_loosely(frame):
     df = frame("t string", ("e‑Book",), ("E-BOOK",), ("e-book",))
     assert {r[0] for r in df.select(type_name_key(F.col("t"))).collect()} == {"E-BOOK"}
