@@ -33,6 +33,13 @@ def test_first_valid_with_a_hot_key(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+def test_later_rows_know_keys_of_another_type(spark, tmp_path):
+    df = spark.createDataFrame([(1, DAY, 1), (2, DAY, 2), (3, DAY, 3), (3, DAY, 4)], "k int, d date, id int")
+    existing = spark.createDataFrame([(2,), (1 << 40,)], "k bigint")
+    later = keys.later_rows(df, ["k"], ["d", "id"], str(tmp_path), existing)
+    assert sorted(r["id"] for r in later.collect()) == [2, 4]
+
+
 @pytest.mark.parametrize("pieces", [None, 3, 50])
 def test_keys_follow_day_and_id_without_gaps(spark, pieces):
     rng = random.Random(3)
