@@ -1,6 +1,8 @@
 import datetime as dt
 import glob
+import threading
 from decimal import Decimal
+from functools import partial
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from foliomart.operators import quality
 from foliomart.plans import pipeline
 from foliomart.plans.rollups import monthly_sales_summary
 from foliomart.schemas import FACT_DAILY, FACT_SALES
+from foliomart.session import together
 from foliomart.sources.extract import extract, extract_all, total_rows
 from samples import DAILY, META, META_HEADER, SALES, SALES_HEADER, write_extracts
 
@@ -324,3 +327,36 @@ def test_unfinished_portions_are_forgotten(spark, tmp_path):
     assert pipeline.staged_table(w, "raw_sales").count() == 0 and after.book.numbers("raw_sales", "DISCARDED") == [1]
     pipeline.stage_rows(after, "raw_sales", rows)
     assert after.book.numbers("raw_sales", "STAGED") == [2] and pipeline.delivered(after, "raw_sales").count() == 1
+
+
+def test_facts_are_loaded_side_by_side(spark, loaded, monkeypatch):
+    """Neither fact waits for the end of the other, and both are logged under a step of their own."""
+    w, _ = loaded
+    both = threading.Barrier(2, timeout=60)
+
+    def meet(load, table, *_):
+        both.wait()
+        return {"fact_sales": (3, 1), "fact_daily": (2, 0)}[table]
+
+    monkeypatch.setattr(pipeline, "_load_fact", meet)
+    load = pipeline.Load(w, "SIDE_BY_SIDE")
+    assert pipeline.load_facts(load) == (5, 1)
+    steps = w.steps().filter(F.col("batch_id") == load.batch_id).collect()
+    assert sorted((r["step_id"], r["status"]) for r in steps) == [(1, "COMPLETED"), (2, "COMPLETED")]
+
+
+def test_lines_written_side_by_side_are_kept(spark, tmp_path):
+    """Appends to one table come in turn; all works end before the first failure is raised."""
+    w = pipeline.Warehouse(spark, str(tmp_path / "w"))
+    load = pipeline.Load(w, "TEST")
+    together(*[partial(load.book.note, "raw_sales", n, "STAGED", figure=n) for n in range(8)])
+    assert pipeline.Ledger(w).numbers("raw_sales", "STAGED") == list(range(8))
+    assert w.read("log/ledger").select("seq").distinct().count() == 8
+    ended = []
+
+    def fail():
+        raise RuntimeError("first")
+
+    with pytest.raises(RuntimeError, match="first"):
+        together(fail, lambda: w.append("t", spark.range(3)), lambda: ended.append(1))
+    assert ended == [1] and w.read("t").count() == 3 and together() == []
