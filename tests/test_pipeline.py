@@ -3,6 +3,7 @@ import glob
 import threading
 from decimal import Decimal
 from functools import partial
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -361,3 +362,74 @@ def test_lines_written_side_by_side_are_kept(spark, tmp_path):
     with pytest.raises(RuntimeError, match="first"):
         together(fail, lambda: w.append("t", spark.range(3)), lambda: ended.append(1))
     assert ended == [1] and w.read("t").count() == 3 and together() == []
+
+
+def test_notes_start_no_python_worker(spark, tmp_path, monkeypatch):
+    """Ledger lines are literals, and several are one write."""
+    w = pipeline.Warehouse(spark, str(tmp_path / "w"))
+    load, written = pipeline.Load(w, "TEST"), []
+    append = w.append
+    monkeypatch.setattr(w, "append", lambda table, df: (written.append(df), append(table, df)))
+    load.book.note("raw_sales", [1, 2], "STAGED", figure=7)
+    load.book.note_all([("raw_sales", 2, "LOADING"), ("fact_sales", 1, "STARTED", "202301"), ("raw_daily", [], "TRIED")])
+    assert len(written) == 2 and not any("ExistingRDD" in df._jdf.queryExecution().toString() for df in written)
+    book = pipeline.Ledger(w)
+    assert (book.numbers("raw_sales", "STAGED"), book.numbers("raw_sales", "LOADING"), book.top("raw_sales")) == ([1], [2], 7)
+    assert book.detail("fact_sales", 1) == "202301" and book.numbers("raw_daily") == []
+
+
+def test_arrivals_are_listed_and_known_files_not_read(spark, tmp_path):
+    folder, log = tmp_path / "in", pipeline.Load(pipeline.Warehouse(spark, str(tmp_path / "w")), "TEST")
+    folder.mkdir()
+    (folder / "new [1] {a}.csv").write_text(f"{SALES_HEADER}\n{line('A1', 'E1')}\n")
+    (folder / "empty.csv").write_text("")
+    (folder / "broken.csv.gz").write_bytes(b"not a gzip file")  # fails as soon as it is opened
+    seen = set()
+    pipeline.stream_stage(spark, str(folder), str(tmp_path / "state"), lambda files, _: seen.update(r[0] for r in files.collect())).awaitTermination()
+    assert len(seen) == 2 and not any("empty" in name for name in seen)
+    rows = pipeline.rows_of_files(spark, str(folder), "raw_sales", [name for name in seen if "broken" not in name])
+    assert pipeline.stage_rows(log, "raw_sales", rows, F.col("_file")) == (1, 0)
+    assert {r[0] for r in pipeline.delivered(log, "raw_sales").collect()} < set(seen)
+    assert pipeline.rows_of_files(spark, str(folder), "raw_sales", []).isEmpty()
+
+
+def test_old_rejects_are_looked_up_once(spark, tmp_path):
+    w = pipeline.Warehouse(spark, str(tmp_path / "w"))
+    load = pipeline.Load(w, "TEST")
+    rows, _ = extract(spark, write_extracts(tmp_path)["raw_sales"], "raw_sales")
+    pipeline.stage_rows(load, "raw_sales", rows)
+    low = pipeline.staged_table(w, "raw_sales", [1]).agg(F.min("stg_sales_id")).first()[0]
+    w.replace("ledger/raw_sales", spark.createDataFrame([(low, 1, "NO_TIME_KEY")], "stg_sales_id bigint, stage_batch int, reject_reason string"))
+    load.book.note_all([("raw_sales", 1, "TRIED"), ("refused/raw_sales", 0, "TRIED", "1"), ("dimensions", 1, "CHANGED")])
+    todo = pipeline.to_load(load, "fact_sales", "raw_sales", w.path("work/test"))
+    plan = todo.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and [r["stg_sales_id"] for r in todo.rows.collect()] == [low]
+    assert [tuple(r) for r in todo.old.collect()] == [(low, 1, "NO_TIME_KEY")]
+
+
+@pytest.mark.parametrize("way", ["run", "run_incremental"])
+def test_dimensions_do_not_wait_for_the_other_extracts(spark, tmp_path, monkeypatch, way):
+    begun, waited = threading.Event(), []
+
+    def stage(load, source, *_):
+        if source == "raw_sales":
+            waited.append(begun.wait(30))
+        return 0, 0
+
+    def stopped(*_, **__):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(pipeline, "stage_rows", stage)
+    monkeypatch.setattr(pipeline, "refresh_dimensions", lambda *_, **__: begun.set() or 0)
+    monkeypatch.setattr(pipeline, "load_facts", stopped)
+    monkeypatch.setattr(pipeline, "left_to_load", lambda _: True)
+    paths = {"raw_meta": str(tmp_path / "meta"), "raw_sales": str(tmp_path / "sales")}
+    for path, rows in zip(paths.values(), ([META_HEADER, *META], [SALES_HEADER, *SALES]), strict=True):
+        Path(path).mkdir()
+        (Path(path) / "a.csv").write_text("\n".join(rows) + "\n", encoding="utf-8")
+    with pytest.raises(RuntimeError, match="stopped"):
+        if way == "run":
+            pipeline.run(spark, str(tmp_path / "w"), paths, DAY)
+        else:
+            pipeline.run_incremental(spark, str(tmp_path / "w"), paths, str(tmp_path / "state"), DAY)
+    assert waited == [True]
