@@ -1,5 +1,6 @@
 import random
 import time
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -70,6 +71,27 @@ def test_lists_count_what_sets_share(monkeypatch):
     assert neardup.Lists([sets[0][:0], sets[0]]).overlaps(np.array([0, 1])).tolist() == [[0, 0], [0, 0]]
 
 
+def test_pairs_of_long_texts_are_counted_some_at_a_time(monkeypatch):
+    """100 texts of 4,000 shingles, each held by about 40 of them: 16 million pairs of a text and a holder."""
+    monkeypatch.setattr(neardup.Lists, "CELLS", 1 << 18)
+    rnd = np.random.default_rng(1)
+    pool = rnd.integers(1, 2**63, 10_000).astype(np.uint64)
+    sets = [np.sort(rnd.choice(pool, 4000, replace=False)) for _ in range(100)]
+    lists = neardup.Lists(sets)
+    tracemalloc.start()
+    got = lists.overlaps(np.arange(100))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100e6  # before: 400 MB and more
+    assert [got[i, j] for i, j in ((0, 0), (0, 1), (98, 3))] == [4000, len(np.intersect1d(sets[0], sets[1])), len(np.intersect1d(sets[98], sets[3]))]
+
+
+def test_long_texts_share_no_values_by_chance():
+    rnd = np.random.default_rng(2)
+    sigs = np.stack([neardup.signature(rnd.integers(1, 2**63, 2000).astype(np.uint64)) for _ in range(1500)])
+    assert all(len(np.unique(sigs[:, i])) == 1500 for i in range(neardup.M))
+
+
 def test_pages_of_one_template_are_compared_at_once():
     """1,500 pages at 0.65 (candidates that do not link), and pairs of near copies among them."""
     rnd = random.Random(12)
