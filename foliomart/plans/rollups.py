@@ -70,22 +70,27 @@ def _monthly_states(fact: DataFrame, dims: dict) -> DataFrame:
 
 def _monthly_shown(reduced: DataFrame, dims: dict, version: str) -> DataFrame:
     month = ["year", "month_number", "month_name"]
-    product = view(dims["product"], "product_key", "edition_id", version)
-    return (
-        reduced.join(product.select("product_key", "edition_id", "product_title"), "product_key")
+    shown = ["edition_id", "product_title", "channel_name", "product_type_name"]
+    product = view(dims["product"], "product_key", "edition_id", version).select("product_key", "edition_id", "product_title")
+    alike = F.count(F.lit(1)).over(Window.partitionBy("edition_id", "product_title"))
+    named = (
+        reduced.join(product.withColumn("_alike", alike), "product_key")
         .join(dims["channel"].select("channel_key", "channel_name"), "channel_key")
         .join(dims["product_type"].select("product_type_key", "product_type_name"), "product_type_key")
-        .groupBy(*month, "edition_id", "product_title", "channel_name", "product_type_name")
-        .agg(
-            n_rows().alias("transaction_count"),
-            total("quantity_sold").alias("total_quantity"),
-            total("net_amount_gbp").alias("total_revenue_gbp"),
-            total("total_cost_gbp").alias("total_cost_gbp"),
-            total("gross_profit_gbp").alias("total_profit_gbp"),
-            average("gross_margin_pct").alias("avg_margin_pct"),
-            average("discount_rate").alias("avg_discount_rate"),
-        )
     )
+    # an edition under one key is grouped where the join by that key left its rows, the others are shuffled once more
+    alone = named.filter(F.col("_alike") == 1).groupBy("product_key", *month, *shown)
+    several = named.filter(F.col("_alike") > 1).groupBy(*month, *shown)
+    figures = [
+        n_rows().alias("transaction_count"),
+        total("quantity_sold").alias("total_quantity"),
+        total("net_amount_gbp").alias("total_revenue_gbp"),
+        total("total_cost_gbp").alias("total_cost_gbp"),
+        total("gross_profit_gbp").alias("total_profit_gbp"),
+        average("gross_margin_pct").alias("avg_margin_pct"),
+        average("discount_rate").alias("avg_discount_rate"),
+    ]
+    return alone.agg(*figures).drop("product_key").unionByName(several.agg(*figures))
 
 
 _DAILY_AVERAGES = {

@@ -331,3 +331,43 @@ def test_a_fact_by_day_is_written_without_a_shuffle(spark, tmp_path):
     # three parts over two months; a shuffle brings the few rows of a month into one file
     files = {(r["year_month"], r["f"]) for r in read.select("year_month", F.input_file_name().alias("f")).distinct().collect()}
     assert sorted(m for m, _ in files) == [202401, 202401, 202402, 202402]
+
+
+@pytest.mark.parametrize("version", ["as_recorded", "latest"])
+def test_editions_under_several_keys_are_one_row_a_month(spark, version):
+    """Rows of an edition under one key stay where the join left them; editions of several keys are added up."""
+    month = "year int, month_number int, month_name string, product_key long, channel_key long, product_type_key long"
+    sums = ["quantity_sold", "net_amount_gbp", "total_cost_gbp", "gross_profit_gbp", "gross_margin_pct", "discount_rate"]
+    schema = f"{month}, _n long, " + ", ".join(f"_s_{c} decimal(22,2)" for c in sums) + ", _c_gross_margin_pct long, _c_discount_rate long"
+    rows = [(2024, m, f"M{m}", k, 1 + k % 2, 1, 2, *[Decimal(10 * k + m)] * 6, 2, 2) for m in (1, 2) for k in range(1, 7)]
+    states = spark.createDataFrame(rows, schema)
+    shared = [(1, "A", "a", "Y"), (2, "A", "a", "Y"), (3, "B", "b", "Y"), (4, None, None, "Y"), (5, None, None, "Y"), (6, "C", "c", "Y")]
+    single = [(k, f"E{k}", f"t{k}", "Y") for k in range(1, 7)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for names in (shared, single):
+        dims = {
+            "product": spark.createDataFrame(names, "product_key long, edition_id string, product_title string, is_current string"),
+            "channel": spark.createDataFrame([(1, "one"), (2, "one")], "channel_key long, channel_name string"),
+            "product_type": spark.createDataFrame([(1, "x")], "product_type_key long, product_type_name string"),
+        }
+        dims |= {name: F.broadcast(dims[name]) for name in ("channel", "product_type")}
+        if version == "latest":
+            dims["product"] = dims["product"].filter("edition_id IS NOT NULL")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        try:
+            # an edition of two current versions has a row for each of them under "latest"
+            product = view(dims["product"], "product_key", "edition_id", version).collect()
+            made = rollups._monthly_shown(states, dims, version)
+            got = {(r["month_number"], r["edition_id"]): (r["transaction_count"], int(r["total_quantity"])) for r in made.collect()}
+            plan = made._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        want = defaultdict(lambda: (0, 0))
+        for r in rows:
+            for p in product:
+                if p["product_key"] == r[3]:
+                    n, total = want[r[1], p["edition_id"]]
+                    want[r[1], p["edition_id"]] = (n + r[6], total + int(r[7]))
+        assert got == want and made.count() == len(want)
+        if names is single:
+            assert not [line for line in plan.split("\n") if "Exchange hashpartitioning(" in line and "channel_name" in line]
