@@ -17,7 +17,7 @@ from foliomart.schemas import (
     FIRST_FACT_KEY,
     UNKNOWN_KEY,
 )
-from foliomart.session import saved, scratch_path
+from foliomart.session import release, saved, scratch_path
 from foliomart.sources.staging import ready
 
 
@@ -236,6 +236,7 @@ def _finish(
     # Lookups and arithmetic run once: the split below reads this narrow table several times.
     carried = list(dict.fromkeys([id_col, "date_parsed", *measures]))
     tagged = saved(tagged.select(*carried, "reject_reason"), f"{work}/tagged")
+    release(staged.sparkSession)
     valid = tagged.filter(F.col("reject_reason").isNull())
     if first_key is not None:
         start = F.lit(first_key)
@@ -246,7 +247,9 @@ def _finish(
     late = later_rows(valid, unique, ["date_parsed", id_col], work, existing)
     # counted from the written rows, as an upper bound of those kept
     pieces = min(max(1, -(-tagged.count() // PIECE_ROWS)), MOST_PIECES)
+    release(staged.sparkSession)
     numbered = assign_keys(valid.select(*carried), "date_parsed", id_col, key, start, pieces, f"{work}/kept", late)
+    release(staged.sparkSession)
     for name, (value, dtype) in follow.items():
         numbered = numbered.withColumn(name, n.fit(value, dtype))
     refused = tagged.filter(F.col("reject_reason").isNotNull()).select(id_col, "reject_reason")

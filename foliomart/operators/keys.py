@@ -11,8 +11,10 @@ from foliomart.session import saved, scratch_path
 # Rows are numbered in pieces of about this many rows, or larger ones beyond so many pieces.
 PIECE_ROWS = 100_000
 MOST_PIECES = 20_000
-# Hashes of repeated keys stay below 200 MB on every executor up to this many.
-BROADCAST_HASHES = 4_000_000
+# Hashes of repeated keys stay below 50 MB on the driver and every executor up to this many.
+BROADCAST_HASHES = 500_000
+# The rows of a key are sorted in one task up to about this many.
+HOT_ROWS = 100_000
 
 
 def first_per_key(
@@ -44,7 +46,9 @@ def later_rows(
 
     Only hashes of the keys are shuffled to find those that occur again; the rows behind them are
     then compared exactly, without their other columns. More hashes than can be broadcast rule
-    nothing out, so then the identities of all rows are compared. Written to ``work``.
+    nothing out, so then the identities of all rows are compared. They are shuffled once, by key, and
+    ranked there; of a hot key each map task sends one row, and its other rows are found by their
+    full identity. Written to ``work``.
     """
     identity = list(dict.fromkeys([*key_cols, *order_cols]))
     rows, hashed = df.select(*identity), F.xxhash64(*key_cols)
@@ -54,14 +58,35 @@ def later_rows(
         # a hash depends on the type
         alike = F.xxhash64(*[F.col(c).try_cast(df.schema[c].dataType) for c in key_cols])
         seen = seen.unionByName(held.select(alike.alias("_hash"), F.lit(2).alias("_n")))
-    again = seen.groupBy("_hash").agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 1).select("_hash")
+    again = seen.groupBy("_hash").agg(F.sum("_n").alias("_n")).filter(F.col("_n") > 1)
     again = saved(again, f"{work}/repeated")
-    if again.count() <= BROADCAST_HASHES:
+    is_hot = F.col("_n") > HOT_ROWS
+    figures = again.agg(F.count(F.lit(1)).alias("n"), F.count_if(is_hot).alias("hot")).first()
+    if figures["n"] <= BROADCAST_HASHES:
         rows = rows.join(F.broadcast(again), hashed == F.col("_hash"), "left_semi")
-    kept = first_per_key(rows, key_cols, order_cols)
+    hot_rows = None
+    if figures["hot"]:
+        # at most one hash per HOT_ROWS rows
+        hot = F.broadcast(again.filter(is_hot))
+        hot_rows = rows.join(hot, hashed == F.col("_hash"), "left_semi")
+        rows = rows.join(hot, hashed == F.col("_hash"), "left_anti")
+    later = _ranked_later(rows, key_cols, order_cols, held)
+    if hot_rows is not None:
+        kept = first_per_key(hot_rows, key_cols, order_cols)
+        if held is not None:
+            kept = kept.join(held, key_cols, "left_anti")
+        later = later.unionByName(rest_of(hot_rows, kept, identity))
+    return saved(later, f"{work}/later")
+
+
+def _ranked_later(rows: DataFrame, key_cols: list[str], order_cols: list[str], held: DataFrame | None) -> DataFrame:
+    """The rows after the first of their key, and all of a key that ``held`` has; rows equal to the first rank like it."""
+    columns, late = rows.columns, F.col("_rank") > 1
     if held is not None:
-        kept = kept.join(held, key_cols, "left_anti")
-    return saved(rest_of(rows, kept, identity), f"{work}/later")
+        rows = rows.join(held.select(*key_cols).distinct().withColumn("_held", F.lit(True)), key_cols, "left")
+        late = late | F.col("_held").isNotNull()
+    window = Window.partitionBy(*key_cols).orderBy(*[F.asc_nulls_last(c) for c in order_cols])
+    return rows.withColumn("_rank", F.rank().over(window)).filter(late).select(*columns)
 
 
 def first_valid(

@@ -33,12 +33,13 @@ class Star(dict):
 
         A large derived frame is written to ``work`` and read again. Spark then shuffles both sides
         as they are and adaptive execution splits the partitions a hot key fills, which it does
-        not do where a side is an aggregate.
+        not do where a side is an aggregate. Its file may be small enough for Spark to broadcast it,
+        which the driver's memory would pay for, hence the hint.
         """
         df = self[name] if derived is None else derived
         if self.rows(name) <= BROADCAST_ROWS:
             return F.broadcast(df)
-        return df if derived is None or work is None else saved(df, f"{work}/lookup-{name}")
+        return df if derived is None or work is None else saved(df, f"{work}/lookup-{name}").hint("merge")
 
 
 def sized(side: DataFrame) -> DataFrame:
@@ -46,6 +47,11 @@ def sized(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
 
 
+def shuffled_if_large(side: DataFrame) -> DataFrame:
+    """Keep Spark from broadcasting a side of many rows because its file is small."""
+    return side.hint("merge") if side.count() > BROADCAST_ROWS else side
+
+
 def attach(rows: DataFrame, side: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a side that is usually small; its size is counted before it is broadcast."""
     return rows.join(sized(side), on, how)

@@ -16,9 +16,9 @@ from foliomart.functions import numeric as n
 from foliomart.operators import dimensions as d
 from foliomart.operators.calendar import calendar
 from foliomart.operators.facts import build_fact_daily, build_fact_sales
-from foliomart.operators.lookups import Star
+from foliomart.operators.lookups import Star, shuffled_if_large
 from foliomart.schemas import staging_schema
-from foliomart.session import saved, scratch_path
+from foliomart.session import discard, release, saved, scratch_path
 from foliomart.sources.warehouse import write_fact
 
 FIRST_DAY = dt.date(1995, 1, 1)
@@ -48,25 +48,30 @@ def staged_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as staged sales."""
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size", "p_retailprice")
+    # The edition lookup joins on the same text, so rows dealt by it are not shuffled again; adaptive execution
+    # may do so to split a hot part.
+    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    part = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("ed_id"), "p_type", "p_size", "p_retailprice"
+    )
     price = F.col("l_extendedprice").cast(n.MONEY)
     quantity = F.col("l_quantity").cast(n.QUANTITY)
     # Both sides grow with the data, so they are shuffled and never broadcast; adaptive execution
     # splits the partition of a hot order.
     sold = lines.join(orders.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
-    sold = sold.withColumnRenamed("l_partkey", "p_partkey").join(part, "p_partkey")
+    sold = sold.withColumn("ed_id", F.col("l_partkey").cast("string")).join(shuffled_if_large(part), "ed_id")
     currency = F.when(F.col("l_returnflag") == "A", "USD").when(F.col("l_returnflag") == "R", "EUR")
     return _staged(
         sold,
         "raw_sales",
         {
             "stg_sales_id": F.concat_ws(
-                "-", "l_orderkey", "l_linenumber", "p_partkey", "l_suppkey", price.cast("string")
+                "-", "l_orderkey", "l_linenumber", "ed_id", "l_suppkey", price.cast("string")
             ),
             "sale_num": F.concat_ws("-", "l_orderkey", "l_linenumber"),
             "date_stamp": F.date_format("o_orderdate", "yyyy-MM-dd"),
             "date_parsed": F.col("o_orderdate").cast("date"),
-            "ed_id": F.col("p_partkey").cast("string"),
+            "ed_id": F.col("ed_id"),
             "chnl": F.col("o_orderpriority"),
             "tqty": quantity,
             "uprice": n.fit(price / quantity, n.MONEY),
@@ -87,7 +92,7 @@ def staged_daily(spark: SparkSession, sf_dir: str, by_supplier: bool = False) ->
     part = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_type", "p_size", "p_retailprice"
     )
-    moved = lines.join(part, "l_partkey").join(supplier_nation(spark, sf_dir), "l_suppkey")
+    moved = lines.join(shuffled_if_large(part), "l_partkey").join(supplier_nation(spark, sf_dir), "l_suppkey")
     if by_supplier:
         moved = moved.withColumn("n_name", F.concat(F.lit("V"), F.col("l_suppkey").cast("string")))
     quantity = F.col("l_quantity").cast("decimal(10,0)")
@@ -246,9 +251,12 @@ def stored_fact(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fact as the warehouse keeps it: written by month once per application, then read."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        path = scratch_path(spark, name)
-        fact, _ = {"fact_sales": sales, "fact_daily": daily}[name](spark, sf_dir)
+        path, work = scratch_path(spark, name), scratch_path(spark, f"{name}-work")
+        fact, _ = {"fact_sales": sales, "fact_daily": daily}[name](spark, sf_dir, work=work)
         write_fact(fact, path, by_day=True)
+        # nobody asked for the rejects, which would read it too
+        discard(spark, work)
+        release(spark)
         _stored[key] = spark.read.parquet(path)
     return _stored[key]
 

@@ -160,3 +160,28 @@ def test_many_keys_are_not_matched_beforehand(frame, monkeypatch):
     made = lookups.matching(large, asked, ["k"])
     assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString() and made.columns == ["k"]
     assert large.join(made, "k", "left_semi").count() == 9
+
+
+@pytest.mark.parametrize("hot", [5, 10**6])
+def test_later_rows_of_many_keys_are_shuffled_once(spark, tmp_path, monkeypatch, hot):
+    """More repeated keys than are broadcast, hot ones or none, known, equal and null ones."""
+    monkeypatch.setattr(keys, "BROADCAST_HASHES", 0)
+    monkeypatch.setattr(keys, "HOT_ROWS", hot)
+    plans = {}
+    real = keys.saved
+    monkeypatch.setattr(keys, "saved", lambda df, path: (plans.update({path.split("/")[-1]: df}), real(df, path))[1])
+    rng = random.Random(11)
+    rows = [(rng.choice(["a", "b", None]) if i % 3 == 0 else f"k{rng.randrange(60)}", days(rng.randrange(9)), i) for i in range(300)]
+    rows += rows[:40]
+    df = spark.createDataFrame(rows, "k string, d date, id int")
+    for known in (None, ["k1", "k2", "a", "other"]):
+        existing = None if known is None else spark.createDataFrame([(k,) for k in known], "k string")
+        first = {}
+        for k, d, i in rows:
+            first[k] = min(first.get(k, (d, i)), (d, i))
+        late = [r for r in rows if r[1:] != first[r[0]] or r[0] in (known or [])]
+        got = keys.later_rows(df, ["k"], ["d", "id"], f"{tmp_path}/{known is None}", existing)
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(late, key=repr)
+        if known is None and hot > 300:
+            plan = plans["later"]._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
